@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from longform.functions.dialect import CsvDialect
-from longform.functions.names import VENDOR_PREFIXES, logical_file_name, vendor_of
+from longform.functions.names import (
+    VENDOR_PREFIXES,
+    logical_file_name,
+    renamed,
+    repair_typos,
+    sanitize,
+    vendor_of,
+)
 from longform.operators.cells import explode_cells
-from longform.operators.header import named_columns, threshold_by_vendor
+from longform.operators.header import detect_header_argmax, named_columns, threshold_by_vendor
 from longform.sources.csv_lines import RecordScan, scan_lines, scan_records
 from longform.sources.storage import join_small, settle
 
@@ -82,3 +89,61 @@ def land_long(spark: SparkSession, path: str | list[str], dialect: CsvDialect =
     timestamp for the whole run.
     """
     return land_lines(scan_lines(spark, path, dialect), dialect, **options)
+
+
+def wide_rows(rows: DataFrame, superset: Sequence[str]) -> DataFrame:
+    """Body rows as wide rows: each superset column takes its cell by position."""
+    values = [
+        F.nullif(F.get("cells", F.get("positions", F.lit(i)) - 1), F.lit("")).alias(column)
+        for i, column in enumerate(superset)
+    ]
+    return rows.select("file_name", "vendor_id", (F.col("line_no") - F.col("header_line_no")).alias("row_index"), *values)
+
+
+def wide_positions(
+    headers: DataFrame, superset: Sequence[str], renames: Mapping[str, Mapping[str, str]]
+) -> DataFrame:
+    """Header table with ``positions``: for each superset column, where the file has it.
+
+    Header names are repaired, sanitised and renamed per vendor first. Where two
+    columns of a file end up with one name, the left one is taken. All of this is
+    per file; rows need no pivot and no shuffle.
+    """
+
+    def repaired(name: Column) -> Column:
+        name = sanitize(repair_typos(name))
+        out = name
+        for vendor, table in renames.items():
+            out = F.when(F.col("vendor_id") == vendor, renamed(name, table)).otherwise(out)
+        return out
+
+    clean = F.transform("columns", lambda c: F.struct(repaired(c["name"]).alias("name"), c["source_column_index"].alias("at")))
+    places = [F.get(F.filter("clean", lambda c: c["name"] == F.lit(s)), F.lit(0))["at"] for s in superset]
+    return headers.withColumn("clean", clean).withColumn("positions", F.array(*places)).drop("clean", "columns")
+
+
+def land_wide(
+    spark: SparkSession,
+    path: str | list[str],
+    superset: Sequence[str],
+    renames: Mapping[str, Mapping[str, str]],
+    dialect: CsvDialect = CsvDialect(),
+    peek: int = 10,
+    prefixes: Mapping[str, str] = VENDOR_PREFIXES,
+) -> DataFrame:
+    """Every CSV file below ``path`` as wide rows over a declared superset of columns.
+
+    The header is the row with the most filled cells among the first ``peek``. A
+    column that is empty throughout needs no removal: it is null either way.
+    """
+    scan = scan_records(scan_lines(spark, path, dialect), dialect, threshold=1)
+    grid = scan.records.filter(F.col("line_no") < peek).withColumn("cells", dialect.cells(F.col("record")))
+    found = settle(detect_header_argmax(grid, peek), "wide-headers")
+    headers = (
+        found.join(scan.files.select("file_id", "file_name"), "file_id")
+        .withColumn("vendor_id", vendor_of(F.col("file_name"), prefixes))
+        .withColumn("columns", named_columns(F.col("header_cells")))
+        .drop("header_cells")
+    )
+    placed = settle(wide_positions(headers, superset, renames), "wide-positions")
+    return wide_rows(body_rows(scan, placed, dialect), superset)
