@@ -50,7 +50,7 @@ class RecordScan:
 
 
 def scan_lines(spark: SparkSession, path: str | list[str], dialect: CsvDialect = CsvDialect()) -> DataFrame:
-    """One row per physical line: file_id, part, seq, value."""
+    """One row per physical line: file_id, part, value."""
     reader = spark.read.option("recursiveFileLookup", True)
     if dialect.encoding.lower().startswith("utf-16"):
         reader = reader.option("encoding", dialect.encoding).option("lineSep", "\n")
@@ -62,7 +62,6 @@ def lines_of(text: DataFrame, dialect: CsvDialect = CsvDialect()) -> DataFrame:
     return text.select(
         F.col("_metadata.file_path").alias("file_id"),
         F.col("_metadata.file_block_start").alias("part"),
-        F.monotonically_increasing_id().alias("seq"),
         dialect.decoded(F.col("value")).alias("value"),
     )
 
@@ -109,7 +108,7 @@ def _place_splits(summary: DataFrame) -> DataFrame:
 
 
 def number_lines(lines: DataFrame, splits: DataFrame) -> DataFrame:
-    """Lines with their 0-based number in the file: file_id, part, line_no, value."""
+    """Lines (with ``seq``) with their 0-based number in the file: file_id, part, line_no, value."""
     placed = join_small(lines, splits.select(*SPLIT, "start_seq", "first_line"), SPLIT, "inner")
     return placed.select(*SPLIT, (F.col("first_line") + F.col("seq") - F.col("start_seq")).alias("line_no"), "value")
 
@@ -211,9 +210,11 @@ def scan_records(
 ) -> RecordScan:
     """Numbered records of all files in ``lines``, and one row of facts per file.
 
+    ``lines`` must be the bare scan, ``file_id, part, value``: row ids are given here.
     ``threshold`` is the number of filled cells that makes a record the header; it
     may be a Column over ``file_id``.
     """
+    lines = lines.withColumn("seq", F.monotonically_increasing_id())
     splits = settle(_place_splits(_split_summary(lines, dialect, threshold)), "splits")
     is_plain = F.col("opens") == 0
     records = number_lines(lines, splits.filter(is_plain)).withColumnRenamed("value", "record")
