@@ -1,7 +1,8 @@
 """CSV dialects as Column expressions.
 
 A record is split into cells inside the JVM. Text without a quote or escape
-character takes the plain ``split`` branch; only the rest pays for the pattern.
+character takes the plain ``split`` branch, and text whose cells are all simply quoted a ``split``
+between the quotes; only the rest pays for the pattern.
 The rules are those of Python's ``csv.reader`` in its default, lenient mode:
 a quote opens a field only at the field's start, a doubled quote stands for one,
 text after a closing quote is appended, and an unclosed quote runs to the end.
@@ -84,13 +85,20 @@ class CsvDialect:
             plain = plain & ~F.contains(record, F.lit(self.delimiter + " ")) & ~F.startswith(record, F.lit(" "))
         return plain
 
+    def is_all_quoted(self, record: Column) -> Column:
+        """Every cell is quoted and holds no quote: a ``split`` between the quotes."""
+        d, q = _escaped(self.delimiter), _escaped(self.quotechar)
+        cell = f"{q}[^{q}{_escaped(self.escapechar) if self.escapechar else ''}]*+{q}"
+        pattern = rf"(?s)\A{cell}(?:{d}{cell})*+\z"
+        return F.startswith(record, F.lit(self.quotechar)) & F.rlike(record, F.lit(pattern))
+
     def leaves_open(self, line: Column) -> Column:
         """Does a line that starts outside a quoted field end inside one?"""
         if self.quotechar is None:
             return F.lit(False)
         d, q = _escaped(self.delimiter), _escaped(self.quotechar)
         pattern = rf"(?s)\A(?:{self._gap}{self._field}{d})*+{self._gap}{q}{self._body}\z"
-        return F.contains(line, F.lit(self.quotechar)) & F.rlike(line, F.lit(pattern))
+        return F.contains(line, F.lit(self.quotechar)) & ~self.is_all_quoted(line) & F.rlike(line, F.lit(pattern))
 
     def stays_open(self, line: Column) -> Column:
         """Does a line that starts inside a quoted field end inside one?"""
@@ -105,7 +113,12 @@ class CsvDialect:
         if self.quotechar is None and self.escapechar is None and not self.skipinitialspace:
             tokens = plain
         else:
-            tokens = F.when(self.is_plain(record), plain).otherwise(self._tokens(record))
+            tokens = F.when(self.is_plain(record), plain)
+            if self.quotechar is not None:
+                between = F.substring(record, F.lit(2), F.length(record) - 2)
+                q = _escaped(self.quotechar)
+                tokens = tokens.when(self.is_all_quoted(record), F.split(between, q + d + q, -1))
+            tokens = tokens.otherwise(self._tokens(record))
         return F.when(record == "", F.array().cast("array<string>")).otherwise(tokens)
 
     def _tokens(self, record: Column) -> Column:
@@ -135,4 +148,10 @@ class CsvDialect:
             tail = F.regexp_replace(tail, f"(?s){_escaped(self.escapechar)}(.)", "$1")
         elif self.doublequote:
             body = F.replace(body, F.lit(self.quotechar * 2), F.lit(self.quotechar))
-        return F.when(F.startswith(token, F.lit(self.quotechar)), F.concat(body, tail)).otherwise(plain)
+        quoted = F.startswith(token, F.lit(self.quotechar))
+        simple = quoted & (F.locate(self.quotechar, token, 2) == F.length(token))
+        if self.escapechar:
+            simple = simple & ~F.contains(token, F.lit(self.escapechar))
+        # most quoted cells are simple and need no pattern
+        inner = F.substring(token, F.lit(2), F.length(token) - 2)
+        return F.when(simple, inner).when(quoted, F.concat(body, tail)).otherwise(plain)

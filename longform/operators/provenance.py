@@ -51,7 +51,8 @@ def with_file_row_number(df: DataFrame) -> DataFrame:
         .withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .drop("_n")
     )
-    numbered = join_small(tagged, settle(splits, "file-splits"), ["_file", "_part"], "inner")
+    splits = settle(splits, "file-splits")
+    numbered = join_small(tagged, splits.df, ["_file", "_part"], "inner", fits=splits.fits)
     number = F.col("_first") + F.col("_seq") - F.col("_start") + 1
     return numbered.withColumn("file_row_number", number).drop("_file", "_part", "_seq", "_start", "_first")
 

@@ -57,9 +57,9 @@ def header_table(scan: RecordScan, dialect: CsvDialect, prefixes: Mapping[str, s
     )
 
 
-def body_rows(scan: RecordScan, headers: DataFrame, dialect: CsvDialect) -> DataFrame:
+def body_rows(scan: RecordScan, headers: DataFrame, dialect: CsvDialect, fits: bool) -> DataFrame:
     """Records below their file's header, split into cells, with the header's columns."""
-    joined = join_small(scan.records, headers, ["file_id"], "inner", ["line_no"])
+    joined = join_small(scan.records, headers, ["file_id"], "inner", ["line_no"], fits)
     return joined.filter(F.col("line_no") > F.col("header_line_no")).withColumn("cells", dialect.cells(F.col("record")))
 
 
@@ -75,10 +75,10 @@ def land_lines(
     scan = scan_records(lines, dialect, _threshold(threshold, default_threshold, prefixes))
     headers = settle(header_table(scan, dialect, prefixes), "headers")
     stamp = ingested_at or dt.datetime.now()
-    needed = headers.select("file_id", "file_name", "vendor_id", "header_line_no", "columns")
-    cells = explode_cells(body_rows(scan, needed, dialect), ["file_id", "file_name", "vendor_id"])
+    needed = headers.df.select("file_id", "file_name", "vendor_id", "header_line_no", "columns")
+    cells = explode_cells(body_rows(scan, needed, dialect, headers.fits), ["file_id", "file_name", "vendor_id"])
     errors = scan.files.filter(F.col("error").isNotNull()).select("file_id", "file_name", "error")
-    return Landing(cells.withColumn("ingestion_timestamp", F.lit(stamp)), headers, errors)
+    return Landing(cells.withColumn("ingestion_timestamp", F.lit(stamp)), headers.df, errors)
 
 
 def land_long(spark: SparkSession, path: str | list[str], dialect: CsvDialect = CsvDialect(), **options) -> Landing:
@@ -138,7 +138,7 @@ def land_wide(
     """
     scan = scan_records(scan_lines(spark, path, dialect), dialect, threshold=1)
     grid = scan.records.filter(F.col("line_no") < peek).withColumn("cells", dialect.cells(F.col("record")))
-    found = settle(detect_header_argmax(grid, peek), "wide-headers")
+    found = detect_header_argmax(grid, peek)
     headers = (
         found.join(scan.files.select("file_id", "file_name"), "file_id")
         .withColumn("vendor_id", vendor_of(F.col("file_name"), prefixes))
@@ -146,4 +146,4 @@ def land_wide(
         .drop("header_cells")
     )
     placed = settle(wide_positions(headers, superset, renames), "wide-positions")
-    return wide_rows(body_rows(scan, placed, dialect), superset)
+    return wide_rows(body_rows(scan, placed.df, dialect, placed.fits), superset)

@@ -31,8 +31,9 @@ from longform.functions.dialect import CsvDialect
 from longform.functions.names import logical_file_name
 from longform.sources.storage import join_small, settle
 
-# a record glued from more text than this is an unclosed quote, not a record
-MAX_RECORD_CHARS = 16 * 1024 * 1024
+# A record that swallows whole file splits of more text than this is an unclosed
+# quote; its file is reported as an error. Other records span two splits at most.
+MAX_SWALLOWED_CHARS = 16 * 1024 * 1024
 
 SPLIT = ["file_id", "part"]
 
@@ -73,7 +74,7 @@ def filled(cells: Column) -> Column:
 
 def _split_summary(lines: DataFrame, dialect: CsvDialect, threshold: Column | int) -> DataFrame:
     """One row per file split. All aggregates combine map-side."""
-    wide = filled(dialect.cells(F.col("value"))) >= threshold
+    wide = F.size(F.array_remove(dialect.cells(F.col("value")), "")) >= threshold
     marked = lines.select("*", F.when(wide, F.col("seq")).alias("wide_at"))
     return marked.groupBy(*SPLIT).agg(
         F.min("seq").alias("start_seq"),
@@ -107,9 +108,9 @@ def _place_splits(summary: DataFrame) -> DataFrame:
     )
 
 
-def number_lines(lines: DataFrame, splits: DataFrame) -> DataFrame:
+def number_lines(lines: DataFrame, splits: DataFrame, fits: bool | None = None) -> DataFrame:
     """Lines (with ``seq``) with their 0-based number in the file: file_id, part, line_no, value."""
-    placed = join_small(lines, splits.select(*SPLIT, "start_seq", "first_line"), SPLIT, "inner")
+    placed = join_small(lines, splits.select(*SPLIT, "start_seq", "first_line"), SPLIT, "inner", fits=fits)
     return placed.select(*SPLIT, (F.col("first_line") + F.col("seq") - F.col("start_seq")).alias("line_no"), "value")
 
 
@@ -140,7 +141,7 @@ def _glued_records(numbered: DataFrame, dialect: CsvDialect) -> tuple[DataFrame,
     ``numbered`` is file_id, part, line_no, value. Every line is a step on the state
     "inside a quoted field": windows within a split compose its steps, one summary
     row per split carries the state across splits, and only lines of one record are
-    grouped. Returns ``(records, sizes)``; ``sizes`` lists runaway records.
+    grouped. Returns the records, and the files in which a quote is never closed.
     """
     value = F.col("value")
     from_outside, from_inside = dialect.leaves_open(value), dialect.stays_open(value)
@@ -152,57 +153,52 @@ def _glued_records(numbered: DataFrame, dialect: CsvDialect) -> tuple[DataFrame,
         (F.col("_o") & ~F.col("_i")).cast("int").alias("flips"),
     )
     in_split = Window.partitionBy(*SPLIT).orderBy("line_no")
-    running = _compose(steps, in_split.rowsBetween(Window.unboundedPreceding, 0))
-    previous = F.lag(F.struct("run_reset", "run_flips")).over(in_split)
-    # three passes read this: store it rather than scan and sort the files again
-    running = settle(running.withColumn("_prev", previous), "quote-steps")
+    so_far = in_split.rowsBetween(Window.unboundedPreceding, 0)
+    running = _compose(steps, so_far).withColumn("prev", F.lag(F.struct("run_reset", "run_flips")).over(in_split))
+
+    def inside(entered: Column) -> Column:
+        """Is a line inside a quoted field, given how its split is entered?"""
+        return _turned(F.coalesce(F.col("prev.run_reset"), entered), F.coalesce(F.col("prev.run_flips"), F.lit(0)))
+
+    # read twice below: store it rather than scan and sort the files again
+    running = settle(running, "quote-steps").df
+    ends = running.groupBy(*SPLIT).agg(
+        F.max_by(F.struct("run_reset", "run_flips"), "line_no").alias("e"),
+        F.count_if(~inside(F.lit(False))).alias("starts_if_outside"),
+        F.count_if(~inside(F.lit(True))).alias("starts_if_inside"),
+        F.sum(F.length("value") + 1).alias("chars"),
+    )
     # a reset folds in the flips that follow it, a row without one keeps them
-    ends = running.groupBy(*SPLIT).agg(F.max_by(F.struct("run_reset", "run_flips"), "line_no").alias("e"))
     step = ends.select(
         *SPLIT,
+        "starts_if_outside",
+        "starts_if_inside",
+        "chars",
         _turned(F.col("e.run_reset"), F.col("e.run_flips")).alias("reset"),
         F.when(F.col("e.run_reset").isNull(), F.col("e.run_flips")).otherwise(0).alias("flips"),
     )
-    across = Window.partitionBy("file_id").orderBy("part")
-    entered = _compose(step, across.rowsBetween(Window.unboundedPreceding, -1)).select(
-        *SPLIT, _turned(F.coalesce("run_reset", F.lit(False)), F.coalesce("run_flips", F.lit(0))).alias("entered")
-    )
-    entered = settle(entered, "quote-state")
-
-    inside = (
-        join_small(running, entered, SPLIT, "inner")
-        .withColumn(
-            "inside",
-            _turned(F.coalesce(F.col("_prev.run_reset"), F.col("entered")), F.coalesce(F.col("_prev.run_flips"), F.lit(0))),
-        )
-        .withColumn("starts", (~F.col("inside")).cast("long"))
-    )
-    counts = inside.groupBy(*SPLIT).agg(F.sum("starts").alias("n"))
-    offsets = counts.select(
-        *SPLIT, F.coalesce(F.sum("n").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset")
-    )
-    offsets = settle(offsets, "record-offsets")
-    running_starts = F.sum("starts").over(in_split.rowsBetween(Window.unboundedPreceding, 0))
-    tagged = join_small(inside.withColumn("_k", running_starts), offsets, SPLIT, "inner").select(
-        *SPLIT, "line_no", "value", (F.col("offset") + F.col("_k") - 1).alias("record_no")
-    )
-
-    sizes = (
-        tagged.groupBy("file_id", "record_no")
-        .agg(F.sum(F.length("value") + 1).alias("chars"))
-        .filter(F.col("chars") > MAX_RECORD_CHARS)
-        .select("file_id")
-        .distinct()
-    )
-    runaway = settle(sizes, "runaway-records")
+    before = Window.partitionBy("file_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    entered = _turned(F.coalesce("run_reset", F.lit(False)), F.coalesce("run_flips", F.lit(0)))
+    starts = F.when(F.col("entered"), F.col("starts_if_inside")).otherwise(F.col("starts_if_outside"))
+    states = _compose(step, before).withColumn("entered", entered).withColumn("starts", starts)
+    states = states.withColumn("offset", F.coalesce(F.sum("starts").over(before), F.lit(0)))
+    # splits in which no record starts belong to one record if they share an offset
+    swallowed = F.sum(F.when(F.col("starts") == 0, F.col("chars")).otherwise(0)).over(Window.partitionBy("file_id", "offset"))
+    runaway = F.max(F.col("swallowed") > MAX_SWALLOWED_CHARS).over(Window.partitionBy("file_id"))
+    states = states.withColumn("swallowed", swallowed).withColumn("runaway", runaway)
+    states = settle(states.select(*SPLIT, "entered", "offset", "runaway"), "quote-states")
+
+    readable = states.df.filter(~F.col("runaway"))
+    placed = join_small(running, readable, SPLIT, "inner", fits=states.fits)
+    starts_so_far = F.count_if(~inside(F.col("entered"))).over(so_far)
     pieces = F.array_sort(F.collect_list(F.struct("line_no", "value")))
     records = (
-        join_small(tagged, runaway, ["file_id"], "left_anti")
+        placed.select(*SPLIT, "line_no", "value", (F.col("offset") + starts_so_far - 1).alias("record_no"))
         .groupBy("file_id", "record_no")
         .agg(F.min("part").alias("part"), F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("record"))
         .select(*SPLIT, F.col("record_no").alias("line_no"), "record")
     )
-    return records, runaway
+    return records, states.df.filter("runaway").select("file_id").distinct()
 
 
 def scan_records(
@@ -215,9 +211,11 @@ def scan_records(
     may be a Column over ``file_id``.
     """
     lines = lines.withColumn("seq", F.monotonically_increasing_id())
-    splits = settle(_place_splits(_split_summary(lines, dialect, threshold)), "splits")
-    is_plain = F.col("opens") == 0
-    records = number_lines(lines, splits.filter(is_plain)).withColumnRenamed("value", "record")
+    stored = settle(
+        _place_splits(_split_summary(lines, dialect, threshold)), "splits", gluing=F.coalesce(F.max(F.col("opens") > 0), F.lit(False))
+    )
+    splits, is_plain = stored.df, F.col("opens") == 0
+    records = number_lines(lines, splits.filter(is_plain), stored.fits).withColumnRenamed("value", "record")
     per_file = splits.groupBy("file_id").agg(
         F.first("file_lines").alias("line_count"),
         F.first("header.at").alias("header_line_no"),
@@ -226,9 +224,9 @@ def scan_records(
     )
     files = per_file.filter(is_plain).drop("opens").withColumn("runaway", F.lit(False))
 
-    if not splits.filter(~is_plain).isEmpty():
-        glued, runaway = _glued_records(number_lines(lines, splits.filter(~is_plain)), dialect)
-        glued = settle(glued, "records")
+    if stored.metrics["gluing"]:
+        glued, runaway = _glued_records(number_lines(lines, splits.filter(~is_plain), stored.fits), dialect)
+        glued = settle(glued, "records").df
         records = records.unionByName(glued)
         wide = filled(dialect.cells(F.col("record"))) >= threshold
         found = (
@@ -238,7 +236,7 @@ def scan_records(
                 F.count("*").alias("line_count"),
                 F.min("at").alias("header_line_no"),
                 F.min_by("record", "at").alias("header"),
-                F.collect_set(F.lit(None).cast("boolean")).alias("_hash"),
+                F.collect_set(F.lit(None).cast("boolean")).alias("_hash"),  # hash, not sort
             )
             .drop("_hash")
         )
@@ -262,7 +260,7 @@ def scan_records(
         "header",
         error.alias("error"),
     )
-    return RecordScan(records, settle(files, "files"))
+    return RecordScan(records, files)
 
 
 def read_grid(spark: SparkSession, path: str | list[str], dialect: CsvDialect = CsvDialect()) -> DataFrame:

@@ -11,8 +11,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 BROADCAST_BYTES = 256 * 1024 * 1024
 BROADCAST_ROWS = 2_000_000
@@ -30,18 +31,39 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/longform-{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the scratch folder once and read it back."""
+@dataclass(frozen=True)
+class Settled:
+    """A stored table and what was observed while it was written."""
+
+    df: DataFrame
+    fits: bool
+    metrics: dict
+
+
+def _size(df: DataFrame) -> tuple[Column, Column]:
+    """Rows, and the length of their text."""
+    return F.count("*"), F.coalesce(F.sum(F.length(F.to_json(F.struct(*df.columns)))), F.lit(0))
+
+
+def settle(df: DataFrame, label: str, limit_bytes: int | None = None, **metrics: Column) -> Settled:
+    """Write ``df`` to the scratch folder once and read it back.
+
+    The write observes the table's size, and any ``metrics`` (aggregates), so no
+    further job is needed to decide on a broadcast.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    rows, chars = _size(df)
+    df.observe(seen, rows.alias("_rows"), chars.alias("_chars"), *[m.alias(n) for n, m in metrics.items()]).write.parquet(path)
+    found = dict(seen.get)
+    fits = found.pop("_rows") <= BROADCAST_ROWS and found.pop("_chars") <= (limit_bytes or BROADCAST_BYTES)
+    return Settled(df.sparkSession.read.schema(df.schema).parquet(path), fits, found)
 
 
-def fits_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_BYTES, limit_rows: int = BROADCAST_ROWS) -> bool:
-    """Measure a side before it is broadcast: rows, and the length of their text."""
-    size = F.length(F.to_json(F.struct("*")))
-    rows, chars = df.limit(limit_rows + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
-    return rows <= limit_rows and chars <= limit_bytes
+def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:
+    """Measure a side before it is broadcast. For small sides: this runs a job over it."""
+    rows, chars = df.limit(BROADCAST_ROWS + 1).agg(*_size(df)).first()
+    return rows <= BROADCAST_ROWS and chars <= (limit_bytes or BROADCAST_BYTES)
 
 
 def join_small(
@@ -50,17 +72,18 @@ def join_small(
     keys: Sequence[str],
     how: str = "left",
     spread: Sequence[str] = (),
-    limit_bytes: int = BROADCAST_BYTES,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Join ``big`` to a side that is usually small, on the columns both name ``keys``.
 
-    The small side is broadcast if it measures within the limit. Otherwise the big
+    The small side is broadcast if it measures within the limit; ``fits`` passes on a
+    measurement already made (of the side or of a table it is part of). Otherwise the big
     side is salted by the ``spread`` columns and the small side repeated once per
     salt, so that one hot key is shared by many tasks. ``how`` is ``left``,
     ``inner``, ``left_semi`` or ``left_anti``; all are unaffected by the repetition.
     """
     keys = list(keys)
-    if fits_broadcast(small, limit_bytes):
+    if fits if fits is not None else fits_broadcast(small):
         return big.join(F.broadcast(small), keys, how)
     if not spread:
         return big.join(small, keys, how)
