@@ -11,6 +11,7 @@ from longform.catalog.standard import TYPED_SQL, silver, typed_orders
 from longform.functions import values as V
 from longform.operators import cells as C, checks as K, provenance as P, reports, silver as Z
 from longform.plans.gold import star_schema
+from longform.sources.storage import join_small
 
 # -- value rules ---------------------------------------------------------------
 
@@ -278,7 +279,7 @@ def gold_star(spark, sf_dir):
     """The fact joined back to both dimensions by their keys."""
     star = _star(spark, sf_dir)
     facts = star.measurements.drop("vendor_id").join(star.samples, "sample_key")
-    return facts.join(F.broadcast(star.analytes), "analyte_key").select(
+    return join_small(facts, star.analytes, ["analyte_key"], "inner", ["sample_key"]).select(
         "vendor_id", "key", "name", "nation", "canonical_column_name", "value"
     )
 

@@ -93,12 +93,11 @@ def raw_grid_scan(spark, sf_dir):
 
 @query("table_roundtrip", f"WITH {I.LONG_SQL} SELECT * FROM long WHERE vendor_id = 'vendor_b'")
 def table_roundtrip(spark, sf_dir):
-    """Write a partitioned table, read back one partition."""
-    path = scratch_path(spark, "table")
-    I.long_cells(spark, sf_dir).write.mode("overwrite").partitionBy("vendor_id").parquet(path)
-    return spark.read.parquet(path).filter("vendor_id = 'vendor_b'").select(
-        "vendor_id", "file_name", "row_index", "column_index", "lab_provided_attribute", "lab_provided_value"
-    )
+    """Write a partitioned table, read back one partition by name."""
+    name = "longform_cells"
+    S.overwrite_table(I.long_cells(spark, sf_dir), name, partition_by=("vendor_id",), path=scratch_path(spark, "table"))
+    cells = spark.table(name).filter("vendor_id = 'vendor_b'")
+    return cells.select("vendor_id", "file_name", "row_index", "column_index", "lab_provided_attribute", "lab_provided_value")
 
 
 @query(

@@ -67,8 +67,11 @@ class CsvDialect:
     def _field(self) -> str:
         if self.quotechar is None:
             return self._bare
-        q = _escaped(self.quotechar)
-        return f"(?:{q}{self._body}{q}{self._bare}|(?!{q}){self._bare})"
+        q, tail = _escaped(self.quotechar), self._bare
+        if self.escapechar and self.doublequote:
+            # the character that follows the closing quote is never an escape
+            tail = f"(?:[^{_escaped(self.delimiter)}]{tail})?+"
+        return f"(?:{q}{self._body}{q}{tail}|(?!{q}){self._bare})"
 
     # -- expressions ----------------------------------------------------------
 
@@ -145,7 +148,11 @@ class CsvDialect:
             # one pass, so that an escaped quote is not taken for a doubled one
             pair = f"(?s)(?:{_escaped(self.escapechar)}(.)" + (f"|{q}({q}))" if self.doublequote else "|(\\z\\A))")
             body = F.regexp_replace(body, pair, "$1$2")
-            tail = F.regexp_replace(tail, f"(?s){_escaped(self.escapechar)}(.)", "$1")
+            first = 1 if self.doublequote else 0
+            tail = F.concat(
+                F.substring(tail, 1, first),
+                F.regexp_replace(F.substring(tail, first + 1, 2**31 - 1), f"(?s){_escaped(self.escapechar)}(.)", "$1"),
+            )
         elif self.doublequote:
             body = F.replace(body, F.lit(self.quotechar * 2), F.lit(self.quotechar))
         quoted = F.startswith(token, F.lit(self.quotechar))

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from longform.sources.csv_lines import filled
+from longform.sources.csv_lines import empty_set, filled
 from longform.sources.storage import join_small
 
 
@@ -27,10 +27,9 @@ def _header_of(grid: DataFrame, ordering: Column) -> DataFrame:
         .groupBy("file_id")
         .agg(
             F.min_by(F.struct("line_no", "cells"), "_by").alias("h"),
-            # always empty; makes Spark hash-aggregate the array-valued min_by, not sort
-            F.collect_set(F.lit(None).cast("boolean")).alias("_hash"),
+            empty_set(F.col("line_no")).alias("_hash"),
         )
-        .filter(F.col("h").isNotNull())
+        .filter(F.col("h").isNotNull() & (F.size("_hash") == 0))
         .select("file_id", F.col("h.line_no").alias("header_line_no"), F.col("h.cells").alias("header_cells"))
     )
 

@@ -129,21 +129,27 @@ def land_wide(
     renames: Mapping[str, Mapping[str, str]],
     dialect: CsvDialect = CsvDialect(),
     peek: int = 10,
+    threshold: int | None = None,
     prefixes: Mapping[str, str] = VENDOR_PREFIXES,
 ) -> DataFrame:
     """Every CSV file below ``path`` as wide rows over a declared superset of columns.
 
-    The header is the row with the most filled cells among the first ``peek``. A
-    column that is empty throughout needs no removal: it is null either way.
+    The header is the row with the most filled cells among the first ``peek``, which
+    takes a scan of its own; with ``threshold`` it is the first row with that many,
+    found in the scan that numbers the lines. A column that is empty throughout needs
+    no removal: it is null either way.
     """
-    scan = scan_records(scan_lines(spark, path, dialect), dialect, threshold=1)
-    grid = scan.records.filter(F.col("line_no") < peek).withColumn("cells", dialect.cells(F.col("record")))
-    found = detect_header_argmax(grid, peek)
-    headers = (
-        found.join(scan.files.select("file_id", "file_name"), "file_id")
-        .withColumn("vendor_id", vendor_of(F.col("file_name"), prefixes))
-        .withColumn("columns", named_columns(F.col("header_cells")))
-        .drop("header_cells")
-    )
+    scan = scan_records(scan_lines(spark, path, dialect), dialect, threshold or 1)
+    if threshold:
+        headers = header_table(scan, dialect, prefixes).drop("line_count", "header_cells")
+    else:
+        grid = scan.records.filter(F.col("line_no") < peek).withColumn("cells", dialect.cells(F.col("record")))
+        headers = (
+            detect_header_argmax(grid, peek)
+            .join(scan.files.select("file_id", "file_name"), "file_id")
+            .withColumn("vendor_id", vendor_of(F.col("file_name"), prefixes))
+            .withColumn("columns", named_columns(F.col("header_cells")))
+            .drop("header_cells")
+        )
     placed = settle(wide_positions(headers, superset, renames), "wide-positions")
     return wide_rows(body_rows(scan, placed.df, dialect, placed.fits), superset)

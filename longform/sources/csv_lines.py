@@ -72,6 +72,15 @@ def filled(cells: Column) -> Column:
     return F.size(F.array_remove(F.array_compact(cells), ""))
 
 
+def empty_set(position: Column) -> Column:
+    """An aggregate that is always empty, over a position that is never negative.
+
+    Beside it Spark aggregates by object hash, so that ``min_by`` over text or arrays
+    needs no sort of all rows.
+    """
+    return F.collect_set(F.when(position < 0, F.lit(True)))
+
+
 def _split_summary(lines: DataFrame, dialect: CsvDialect, threshold: Column | int) -> DataFrame:
     """One row per file split. All aggregates combine map-side."""
     wide = F.size(F.array_remove(dialect.cells(F.col("value")), "")) >= threshold
@@ -81,8 +90,7 @@ def _split_summary(lines: DataFrame, dialect: CsvDialect, threshold: Column | in
         F.count("*").alias("line_count"),
         F.min("wide_at").alias("wide_at"),
         F.min_by("value", "wide_at").alias("wide_text"),
-        # a set, not bool_or: with it Spark aggregates by object hash, so min_by
-        # over text needs no sort of the whole scan
+        # a set, not bool_or, for the reason given at empty_set
         F.collect_set(F.when(dialect.leaves_open(F.col("value")), F.lit(True))).alias("opens"),
     )
 
@@ -236,8 +244,9 @@ def scan_records(
                 F.count("*").alias("line_count"),
                 F.min("at").alias("header_line_no"),
                 F.min_by("record", "at").alias("header"),
-                F.collect_set(F.lit(None).cast("boolean")).alias("_hash"),  # hash, not sort
+                empty_set(F.col("line_no")).alias("_hash"),
             )
+            .filter(F.size("_hash") == 0)
             .drop("_hash")
         )
         files = files.unionByName(found.withColumn("runaway", F.lit(False))).unionByName(

@@ -23,9 +23,16 @@ def write_csv(df: DataFrame, path: str, header: bool = True, single_file: bool =
     (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", header).csv(path)
 
 
-def overwrite_table(df: DataFrame, table: str, format: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
+def overwrite_table(
+    df: DataFrame, table: str, format: str = "parquet", partition_by: tuple[str, ...] = (), path: str | None = None
+) -> None:
+    """Replace a table. With ``path`` its files live there, not in the warehouse."""
     writer = df.write.format(format).mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
 
 
 def append_table(df: DataFrame, table: str, format: str = "parquet") -> None:
