@@ -20,7 +20,7 @@ from longform.functions.names import (
 from longform.operators.cells import explode_cells
 from longform.operators.header import detect_header_argmax, named_columns, threshold_by_vendor
 from longform.sources.csv_lines import RecordScan, scan_lines, scan_records
-from longform.sources.storage import join_small, settle
+from longform.sources.storage import settle
 
 
 @dataclass(frozen=True)
@@ -59,8 +59,8 @@ def header_table(scan: RecordScan, dialect: CsvDialect, prefixes: Mapping[str, s
 
 def body_rows(scan: RecordScan, headers: DataFrame, dialect: CsvDialect, fits: bool) -> DataFrame:
     """Records below their file's header, split into cells, with the header's columns."""
-    joined = join_small(scan.records, headers, ["file_id"], "inner", ["line_no"], fits)
-    return joined.filter(F.col("line_no") > F.col("header_line_no")).withColumn("cells", dialect.cells(F.col("record")))
+    below = scan.with_file_facts(headers, fits).filter(F.col("line_no") > F.col("header_line_no"))
+    return below.withColumn("cells", dialect.cells(F.col("record")))
 
 
 def land_lines(

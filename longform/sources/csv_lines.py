@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from longform.functions.dialect import CsvDialect
 from longform.functions.names import logical_file_name
-from longform.sources.storage import join_small, settle
+from longform.sources.storage import fits_broadcast, join_small, settle
 
 # A record that swallows whole file splits of more text than this is an unclosed
 # quote; its file is reported as an error. Other records span two splits at most.
@@ -44,10 +44,22 @@ class RecordScan:
 
     ``records``: file_id, part, line_no (0-based), record.
     ``files``: file_id, file_name, line_count, header_line_no, header, error; one row per file.
+    ``splits``: file_id, part; one row per file split.
     """
 
     records: DataFrame
     files: DataFrame
+    splits: DataFrame
+
+    def with_file_facts(self, facts: DataFrame, fits: bool) -> DataFrame:
+        """Records joined to a table with one row per file.
+
+        A table too large to broadcast is first repeated per split: rows then shuffle by
+        ``(file_id, part)``, evenly even where one file holds most of them.
+        """
+        if fits:
+            return self.records.join(F.broadcast(facts), "file_id")
+        return self.records.join(self.splits.join(facts, "file_id"), SPLIT)
 
 
 def scan_lines(spark: SparkSession, path: str | list[str], dialect: CsvDialect = CsvDialect()) -> DataFrame:
@@ -269,7 +281,7 @@ def scan_records(
         "header",
         error.alias("error"),
     )
-    return RecordScan(records, files)
+    return RecordScan(records, files, splits.select(*SPLIT))
 
 
 def read_grid(spark: SparkSession, path: str | list[str], dialect: CsvDialect = CsvDialect()) -> DataFrame:
@@ -278,7 +290,8 @@ def read_grid(spark: SparkSession, path: str | list[str], dialect: CsvDialect =
     Rows may differ in width; an empty cell is null.
     """
     scan = scan_records(scan_lines(spark, path, dialect), dialect, threshold=1)
-    named = join_small(scan.records, scan.files.select("file_id", "file_name"), ["file_id"], "inner", ["line_no"])
+    names = scan.files.select("file_id", "file_name")
+    named = scan.with_file_facts(names, fits_broadcast(names))
     cells = F.transform(dialect.cells(F.col("record")), lambda c: F.nullif(c, F.lit("")))
     return named.select(*SPLIT, "file_name", "line_no", cells.alias("cells")).select(
         "file_id", "file_name", "part", "line_no", F.size("cells").alias("n_tokens"), "cells"

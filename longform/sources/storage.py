@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 BROADCAST_BYTES = 256 * 1024 * 1024
 BROADCAST_ROWS = 2_000_000
-SALTS = 32
+MAX_SALTS = 256
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -79,7 +79,8 @@ def join_small(
     The small side is broadcast if it measures within the limit; ``fits`` passes on a
     measurement already made (of the side or of a table it is part of). Otherwise the big
     side is salted by the ``spread`` columns and the small side repeated once per
-    salt, so that one hot key is shared by many tasks. ``how`` is ``left``,
+    salt, so that one hot key is shared by many tasks (adaptive execution splits what is
+    still uneven). ``how`` is ``left``,
     ``inner``, ``left_semi`` or ``left_anti``; all are unaffected by the repetition.
     """
     keys = list(keys)
@@ -87,6 +88,7 @@ def join_small(
         return big.join(F.broadcast(small), keys, how)
     if not spread:
         return big.join(small, keys, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salts = min(MAX_SALTS, int(big.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
