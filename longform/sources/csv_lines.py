@@ -25,11 +25,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
 from longform.functions.dialect import CsvDialect
 from longform.functions.names import logical_file_name
-from longform.sources.storage import fits_broadcast, join_small, settle
+from longform.sources.storage import fits_broadcast, join_small, settle, store
 
 # A record that swallows whole file splits of more text than this is an unclosed
 # quote; its file is reported as an error. Other records span two splits at most.
@@ -134,90 +134,102 @@ def number_lines(lines: DataFrame, splits: DataFrame, fits: bool | None = None)
     return placed.select(*SPLIT, (F.col("first_line") + F.col("seq") - F.col("start_seq")).alias("line_no"), "value")
 
 
-def _compose(df: DataFrame, window: Window) -> DataFrame:
-    """Running composition of quote-state steps.
+def _entry_state(df: DataFrame, before: WindowSpec) -> DataFrame:
+    """How each step of a quote-state sequence is entered, given how the sequence is.
 
-    A step either resets the state (``reset`` not null) or, if ``flips`` is 1, turns
-    it over. The composition up to a row is the last reset, turned by the parity of
-    the flips since.
+    The state is 1 inside a quoted field, else 0. A step either resets it (``reset`` not
+    null) or, if ``flips`` is 1, turns it over. Adds ``in_0`` and ``in_1``: the state on
+    entering the step if the sequence is entered outside, or inside.
     """
-    counted = df.withColumn("_n", F.sum("flips").over(window))
-    last = F.last(F.when(F.col("reset").isNotNull(), F.struct("reset", "_n")), ignorenulls=True).over(window)
-    return (
-        counted.withColumn("_last", last)
-        .withColumn("run_flips", F.pmod(F.col("_n") - F.coalesce(F.col("_last._n"), F.lit(0)), F.lit(2)))
-        .withColumn("run_reset", F.col("_last.reset"))
-        .drop("_n", "_last")
-    )
-
-
-def _turned(state: Column, flips: Column) -> Column:
-    return F.when(flips == 1, ~state).otherwise(state)
+    parity = F.pmod(F.coalesce(F.sum("flips").over(before), F.lit(0)), F.lit(2)).cast("int")
+    # what the state would be now, had no step turned it over before the last reset
+    base = F.last(F.when(F.col("reset").isNotNull(), F.pmod(F.col("reset") + F.col("_p"), F.lit(2))), ignorenulls=True)
+    entered = lambda e: F.pmod(F.coalesce(F.col("_b"), F.lit(e)) + F.col("_p"), F.lit(2))
+    placed = df.withColumn("_p", parity).withColumn("_b", base.over(before))
+    return placed.withColumns({"in_0": entered(0), "in_1": entered(1)}).drop("_p", "_b")
 
 
 def _glued_records(numbered: DataFrame, dialect: CsvDialect) -> tuple[DataFrame, DataFrame]:
     """Logical records of files whose quoted fields span lines.
 
     ``numbered`` is file_id, part, line_no, value. Every line is a step on the state
-    "inside a quoted field": windows within a split compose its steps, one summary
-    row per split carries the state across splits, and only lines of one record are
-    grouped. Returns the records, and the files in which a quote is never closed.
+    "inside a quoted field". Windows within a split, which is small, work out each line
+    for both ways its split may be entered; one summary row per split then settles which
+    it is. Lines that are whole records pass through; only the others are grouped.
+    Returns the records, and the files in which a quote is never closed.
     """
     value = F.col("value")
-    from_outside, from_inside = dialect.leaves_open(value), dialect.stays_open(value)
-    steps = numbered.withColumns({"_o": from_outside, "_i": from_inside}).select(
+    steps = numbered.withColumns({"_o": dialect.leaves_open(value), "_i": dialect.stays_open(value)}).select(
         *SPLIT,
         "line_no",
         "value",
-        F.when(F.col("_o") == F.col("_i"), F.col("_o")).alias("reset"),
+        (F.length("value") + 1).alias("chars"),
+        F.when(F.col("_o") == F.col("_i"), F.col("_o").cast("int")).alias("reset"),
         (F.col("_o") & ~F.col("_i")).cast("int").alias("flips"),
     )
     in_split = Window.partitionBy(*SPLIT).orderBy("line_no")
     so_far = in_split.rowsBetween(Window.unboundedPreceding, 0)
-    running = _compose(steps, so_far).withColumn("prev", F.lag(F.struct("run_reset", "run_flips")).over(in_split))
-
-    def inside(entered: Column) -> Column:
-        """Is a line inside a quoted field, given how its split is entered?"""
-        return _turned(F.coalesce(F.col("prev.run_reset"), entered), F.coalesce(F.col("prev.run_flips"), F.lit(0)))
-
-    # read twice below: store it rather than scan and sort the files again
-    running = settle(running, "quote-steps").df
-    ends = running.groupBy(*SPLIT).agg(
-        F.max_by(F.struct("run_reset", "run_flips"), "line_no").alias("e"),
-        F.count_if(~inside(F.lit(False))).alias("starts_if_outside"),
-        F.count_if(~inside(F.lit(True))).alias("starts_if_inside"),
-        F.sum(F.length("value") + 1).alias("chars"),
-    )
-    # a reset folds in the flips that follow it, a row without one keeps them
-    step = ends.select(
+    left = lambda e: F.coalesce(F.col("reset"), F.pmod(F.col(f"in_{e}") + F.col("flips"), F.lit(2)))
+    lines = _entry_state(steps, in_split.rowsBetween(Window.unboundedPreceding, -1)).select(
         *SPLIT,
-        "starts_if_outside",
-        "starts_if_inside",
+        "line_no",
+        "value",
         "chars",
-        _turned(F.col("e.run_reset"), F.col("e.run_flips")).alias("reset"),
-        F.when(F.col("e.run_reset").isNull(), F.col("e.run_flips")).otherwise(0).alias("flips"),
+        "in_0",
+        "in_1",
+        left(0).alias("out_0"),
+        left(1).alias("out_1"),
+        F.sum(1 - F.col("in_0")).over(so_far).alias("starts_0"),
+        F.sum(1 - F.col("in_1")).over(so_far).alias("starts_1"),
+    )
+    # read several times below: store it rather than scan and sort the files again
+    lines = store(lines, "quote-steps")
+
+    # one row per split; the state after its last line is packed beside the line's number
+    last = F.max(F.col("line_no") * 4 + F.col("out_0") * 2 + F.col("out_1"))
+    ends = lines.groupBy(*SPLIT).agg(
+        F.pmod(last, F.lit(4)).alias("out"),
+        F.max("starts_0").alias("starts_0"),
+        F.max("starts_1").alias("starts_1"),
+        F.sum("chars").alias("chars"),
+    )
+    step = ends.withColumns(
+        {
+            "reset": F.when(F.col("out").isin(0, 3), (F.col("out") == 3).cast("int")),
+            "flips": (F.col("out") == 2).cast("int"),
+        }
     )
     before = Window.partitionBy("file_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    entered = _turned(F.coalesce("run_reset", F.lit(False)), F.coalesce("run_flips", F.lit(0)))
-    starts = F.when(F.col("entered"), F.col("starts_if_inside")).otherwise(F.col("starts_if_outside"))
-    states = _compose(step, before).withColumn("entered", entered).withColumn("starts", starts)
-    states = states.withColumn("offset", F.coalesce(F.sum("starts").over(before), F.lit(0)))
+    of_file = Window.partitionBy("file_id")
+    # a file is entered outside a quoted field
+    states = _entry_state(step, before).withColumnRenamed("in_0", "entered")
+    starts = F.when(F.col("entered") == 1, F.col("starts_1")).otherwise(F.col("starts_0"))
+    states = states.withColumn("starts", starts).withColumn("offset", F.coalesce(F.sum("starts").over(before), F.lit(0)))
     # splits in which no record starts belong to one record if they share an offset
     swallowed = F.sum(F.when(F.col("starts") == 0, F.col("chars")).otherwise(0)).over(Window.partitionBy("file_id", "offset"))
-    runaway = F.max(F.col("swallowed") > MAX_SWALLOWED_CHARS).over(Window.partitionBy("file_id"))
-    states = states.withColumn("swallowed", swallowed).withColumn("runaway", runaway)
+    states = states.withColumn("swallowed", swallowed).withColumn(
+        "runaway", F.max(F.col("swallowed") > MAX_SWALLOWED_CHARS).over(of_file)
+    )
     states = settle(states.select(*SPLIT, "entered", "offset", "runaway"), "quote-states")
 
-    readable = states.df.filter(~F.col("runaway"))
-    placed = join_small(running, readable, SPLIT, "inner", fits=states.fits)
-    starts_so_far = F.count_if(~inside(F.col("entered"))).over(so_far)
+    chosen = lambda name: F.when(F.col("entered") == 1, F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))
+    placed = join_small(lines, states.df.filter(~F.col("runaway")), SPLIT, "inner", fits=states.fits).select(
+        *SPLIT,
+        "line_no",
+        "value",
+        (F.col("offset") + chosen("starts") - 1).alias("record_no"),
+        ((chosen("in") == 0) & (chosen("out") == 0)).alias("whole"),
+    )
     pieces = F.array_sort(F.collect_list(F.struct("line_no", "value")))
-    records = (
-        placed.select(*SPLIT, "line_no", "value", (F.col("offset") + starts_so_far - 1).alias("record_no"))
+    several = (
+        placed.filter(~F.col("whole"))
         .groupBy("file_id", "record_no")
         .agg(F.min("part").alias("part"), F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("record"))
         .select(*SPLIT, F.col("record_no").alias("line_no"), "record")
     )
+    single = placed.filter("whole").select(*SPLIT, F.col("record_no").alias("line_no"), F.col("value").alias("record"))
+    # the grouped records are read for the header and again for the cells
+    records = single.unionByName(store(several, "records"))
     return records, states.df.filter("runaway").select("file_id").distinct()
 
 
@@ -246,7 +258,6 @@ def scan_records(
 
     if stored.metrics["gluing"]:
         glued, runaway = _glued_records(number_lines(lines, splits.filter(~is_plain), stored.fits), dialect)
-        glued = settle(glued, "records").df
         records = records.unionByName(glued)
         wide = filled(dialect.cells(F.col("record"))) >= threshold
         found = (

@@ -33,7 +33,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 @dataclass(frozen=True)
 class Settled:
-    """A stored table and what was observed while it was written."""
+    """A stored table, whether it may be broadcast, and what was observed while it was written."""
 
     df: DataFrame
     fits: bool
@@ -45,25 +45,32 @@ def _size(df: DataFrame) -> tuple[Column, Column]:
     return F.count("*"), F.coalesce(F.sum(F.length(F.to_json(F.struct(*df.columns)))), F.lit(0))
 
 
-def settle(df: DataFrame, label: str, limit_bytes: int | None = None, **metrics: Column) -> Settled:
-    """Write ``df`` to the scratch folder once and read it back.
+def store(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the scratch folder once and read it back."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle(df: DataFrame, label: str, **metrics: Column) -> Settled:
+    """``store`` for a table that is to be joined to a larger one.
 
     The write observes the table's size, and any ``metrics`` (aggregates), so no
     further job is needed to decide on a broadcast.
     """
-    path = scratch_path(df.sparkSession, label)
     seen = Observation()
     rows, chars = _size(df)
-    df.observe(seen, rows.alias("_rows"), chars.alias("_chars"), *[m.alias(n) for n, m in metrics.items()]).write.parquet(path)
+    observed = df.observe(seen, rows.alias("_rows"), chars.alias("_chars"), *[m.alias(n) for n, m in metrics.items()])
+    stored = store(observed, label)
     found = dict(seen.get)
-    fits = found.pop("_rows") <= BROADCAST_ROWS and found.pop("_chars") <= (limit_bytes or BROADCAST_BYTES)
-    return Settled(df.sparkSession.read.schema(df.schema).parquet(path), fits, found)
+    fits = found.pop("_rows") <= BROADCAST_ROWS and found.pop("_chars") <= BROADCAST_BYTES
+    return Settled(stored, fits, found)
 
 
-def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:
+def fits_broadcast(df: DataFrame) -> bool:
     """Measure a side before it is broadcast. For small sides: this runs a job over it."""
     rows, chars = df.limit(BROADCAST_ROWS + 1).agg(*_size(df)).first()
-    return rows <= BROADCAST_ROWS and chars <= (limit_bytes or BROADCAST_BYTES)
+    return rows <= BROADCAST_ROWS and chars <= BROADCAST_BYTES
 
 
 def join_small(
