@@ -31,9 +31,9 @@ from longform.functions.dialect import CsvDialect
 from longform.functions.names import logical_file_name
 from longform.sources.storage import fits_broadcast, join_small, settle, store
 
-# A record that swallows whole file splits of more text than this is an unclosed
-# quote; its file is reported as an error. Other records span two splits at most.
-MAX_SWALLOWED_CHARS = 16 * 1024 * 1024
+# A record of several lines with more text than this is an unclosed quote; its file is
+# reported as an error. (Python's reader refuses a single cell beyond 128 Ki characters.)
+MAX_RECORD_CHARS = 16 * 1024 * 1024
 
 SPLIT = ["file_id", "part"]
 
@@ -191,7 +191,6 @@ def _glued_records(numbered: DataFrame, dialect: CsvDialect) -> tuple[DataFrame,
         F.pmod(last, F.lit(4)).alias("out"),
         F.max("starts_0").alias("starts_0"),
         F.max("starts_1").alias("starts_1"),
-        F.sum("chars").alias("chars"),
     )
     step = ends.withColumns(
         {
@@ -200,26 +199,27 @@ def _glued_records(numbered: DataFrame, dialect: CsvDialect) -> tuple[DataFrame,
         }
     )
     before = Window.partitionBy("file_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    of_file = Window.partitionBy("file_id")
     # a file is entered outside a quoted field
     states = _entry_state(step, before).withColumnRenamed("in_0", "entered")
     starts = F.when(F.col("entered") == 1, F.col("starts_1")).otherwise(F.col("starts_0"))
-    states = states.withColumn("starts", starts).withColumn("offset", F.coalesce(F.sum("starts").over(before), F.lit(0)))
-    # splits in which no record starts belong to one record if they share an offset
-    swallowed = F.sum(F.when(F.col("starts") == 0, F.col("chars")).otherwise(0)).over(Window.partitionBy("file_id", "offset"))
-    states = states.withColumn("swallowed", swallowed).withColumn(
-        "runaway", F.max(F.col("swallowed") > MAX_SWALLOWED_CHARS).over(of_file)
-    )
-    states = settle(states.select(*SPLIT, "entered", "offset", "runaway"), "quote-states")
+    offset = F.coalesce(F.sum(starts).over(before), F.lit(0))
+    states = settle(states.select(*SPLIT, "entered", offset.alias("offset")), "quote-states")
 
     chosen = lambda name: F.when(F.col("entered") == 1, F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))
-    placed = join_small(lines, states.df.filter(~F.col("runaway")), SPLIT, "inner", fits=states.fits).select(
+    placed = join_small(lines, states.df, SPLIT, "inner", fits=states.fits).select(
         *SPLIT,
         "line_no",
         "value",
+        "chars",
         (F.col("offset") + chosen("starts") - 1).alias("record_no"),
         ((chosen("in") == 0) & (chosen("out") == 0)).alias("whole"),
     )
+    # measured before anything is gathered; reads no text and combines map-side
+    sizes = placed.filter(~F.col("whole")).groupBy("file_id", "record_no").agg(F.sum("chars").alias("chars"))
+    runaway = sizes.filter(F.col("chars") > MAX_RECORD_CHARS).select("file_id").distinct()
+    runaway = settle(runaway, "runaway", files=F.count("*"))
+    if runaway.metrics["files"]:
+        placed = join_small(placed, runaway.df, ["file_id"], "left_anti", ["line_no"], runaway.fits)
     pieces = F.array_sort(F.collect_list(F.struct("line_no", "value")))
     several = (
         placed.filter(~F.col("whole"))
@@ -230,7 +230,7 @@ def _glued_records(numbered: DataFrame, dialect: CsvDialect) -> tuple[DataFrame,
     single = placed.filter("whole").select(*SPLIT, F.col("record_no").alias("line_no"), F.col("value").alias("record"))
     # the grouped records are read for the header and again for the cells
     records = single.unionByName(store(several, "records"))
-    return records, states.df.filter("runaway").select("file_id").distinct()
+    return records, runaway.df
 
 
 def scan_records(

@@ -104,7 +104,7 @@ def test_split_files_match_whole_files(spark, tmp_path, small_splits):
 
 
 def test_unclosed_quote_is_isolated(spark, tmp_path, small_splits, monkeypatch):
-    monkeypatch.setattr(csv_lines, "MAX_SWALLOWED_CHARS", 1000)
+    monkeypatch.setattr(csv_lines, "MAX_RECORD_CHARS", 1000)
     put(tmp_path, "good.csv", "a,b\n1,\"x\ny\"\n")
     put(tmp_path, "bad.csv", 'a,b\n1,"' + "never closed\n" * 300)
     landing = land_long(spark, str(tmp_path), threshold=2)
