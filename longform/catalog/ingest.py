@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from longform.catalog import inputs as I
 from longform.catalog.registry import query, table
+from longform.functions.names import logical_file_name, vendor_of
 from longform.operators import cells as C, checks, header as H, provenance, reports
 from longform.plans.bronze import Landing, land_long, land_wide
 from longform.sources import tables as S
@@ -341,8 +342,6 @@ def ingest_errors(spark, sf_dir):
     "ELSE o_orderpriority END AS f FROM orders)",
 )
 def vendor_from_filename(spark, sf_dir):
-    from longform.functions.names import vendor_of
-
     key = F.col("o_custkey") % 3
     name = (
         F.when(key == 0, F.lit("vendor_abc.csv"))
@@ -407,8 +406,6 @@ SELECT DISTINCT file_name FROM a_rows UNION ALL SELECT DISTINCT file_name FROM b
 )
 def incremental_ledger(spark, sf_dir):
     """Files left to load when the ledger lists vendor B's files without a header."""
-    from longform.functions.names import logical_file_name
-
     folder = I.messy_files(spark, sf_dir)
     text = spark.read.option("recursiveFileLookup", True).text(folder)
     files = text.select(F.col("_metadata.file_path").alias("file_id")).distinct()

@@ -8,7 +8,7 @@ from longform.catalog import inputs as I
 from longform.catalog.ingest import landing
 from longform.catalog.registry import query, table
 from longform.functions import values as V
-from longform.operators import cells as C, reports, silver as Z
+from longform.operators import reports, silver as Z
 from longform.sources import reference_data as R, tables as S
 from longform.sources.storage import scratch_path
 
@@ -106,7 +106,7 @@ def part_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every second size is defined, sizes that four divides by two brands of brands: twice."""
+    """Only even sizes are defined, and those that four divides are defined twice."""
     part = table(spark, sf_dir, "part").filter(F.col("p_size") % 2 == 0)
     return part.select("p_type", "p_size", (F.col("p_size") % 4 == 0).alias("again")).distinct().select(
         V.surrogate_key("p_type", "p_size").alias("canonical_column_id"),

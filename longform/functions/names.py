@@ -105,7 +105,7 @@ def id_pattern(prefix: str, total_length: int, separator_at: int | None = None,
     digits = total_length - len(prefix) - (len(separator) if separator_at is not None else 0)
     if digits <= 0:
         raise ValueError(f"length {total_length} leaves no digits after {prefix!r}")
-    # Latin letters, digits and these three mean themselves in any dialect
+    # anything else is put into a character class of its own
     safe = lambda s: "".join(c if c.isalnum() or c in "_ -" else f"[{c}]" for c in s)
     if separator_at is None:
         return f"^{safe(prefix)}[0-9]{{{digits}}}$"

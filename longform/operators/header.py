@@ -11,7 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from longform.sources.csv_lines import empty_set, filled
+from longform.sources.csv_lines import NO_HEADER, empty_set, filled
 from longform.sources.storage import join_small
 
 
@@ -63,7 +63,7 @@ def files_without_header(grid: DataFrame, header: DataFrame) -> DataFrame:
     """One row per file in which no header was found."""
     files = grid.select("file_id").distinct()
     return join_small(files, header.select("file_id"), ["file_id"], "left_anti").withColumn(
-        "error", F.lit("Could not find header row.")
+        "error", F.lit(NO_HEADER)
     )
 
 

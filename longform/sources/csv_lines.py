@@ -35,6 +35,8 @@ from longform.sources.storage import fits_broadcast, join_small, settle, store
 # reported as an error. (Python's reader refuses a single cell beyond 128 Ki characters.)
 MAX_RECORD_CHARS = 16 * 1024 * 1024
 
+NO_HEADER = "Could not find header row."
+
 SPLIT = ["file_id", "part"]
 
 
@@ -243,9 +245,8 @@ def scan_records(
     may be a Column over ``file_id``.
     """
     lines = lines.withColumn("seq", F.monotonically_increasing_id())
-    stored = settle(
-        _place_splits(_split_summary(lines, dialect, threshold)), "splits", gluing=F.coalesce(F.max(F.col("opens") > 0), F.lit(False))
-    )
+    gluing = F.coalesce(F.max(F.col("opens") > 0), F.lit(False))
+    stored = settle(_place_splits(_split_summary(lines, dialect, threshold)), "splits", gluing=gluing)
     splits, is_plain = stored.df, F.col("opens") == 0
     records = number_lines(lines, splits.filter(is_plain), stored.fits).withColumnRenamed("value", "record")
     per_file = splits.groupBy("file_id").agg(
@@ -282,7 +283,7 @@ def scan_records(
             )
         )
     error = F.when(F.col("runaway"), F.lit("Quoted field is never closed.")).when(
-        F.col("header_line_no").isNull(), F.lit("Could not find header row.")
+        F.col("header_line_no").isNull(), F.lit(NO_HEADER)
     )
     files = files.select(
         "file_id",

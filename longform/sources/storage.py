@@ -62,7 +62,8 @@ def settle(df: DataFrame, label: str, **metrics: Column) -> Settled:
     rows, chars = _size(df)
     observed = df.observe(seen, rows.alias("_rows"), chars.alias("_chars"), *[m.alias(n) for n, m in metrics.items()])
     stored = store(observed, label)
-    found = dict(seen.get)
+    # nothing is observed where the planner finds the table empty beforehand
+    found = {"_rows": 0, "_chars": 0, **dict.fromkeys(metrics), **seen.get}
     fits = found.pop("_rows") <= BROADCAST_ROWS and found.pop("_chars") <= BROADCAST_BYTES
     return Settled(stored, fits, found)
 

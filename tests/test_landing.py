@@ -202,3 +202,16 @@ def test_wide_landing_by_threshold(spark, tmp_path):
     put(tmp_path, "vendor_a.csv", "meta\na,b,,d\n1,2,junk,4\n")
     wide = land_wide(spark, str(tmp_path), ["a", "b", "d"], {}, threshold=3)
     assert [tuple(r) for r in wide.select("a", "b", "d").collect()] == [("1", "2", "4")]
+
+
+def test_folder_without_lines(spark, tmp_path):
+    put(tmp_path, "vendor_a none.csv", "")
+    landing = land_long(spark, str(tmp_path), threshold=2)
+    assert landing.cells.isEmpty() and landing.headers.isEmpty() and landing.errors.isEmpty()
+
+
+def test_nothing_but_an_empty_table_is_observed(spark):
+    from longform.sources.storage import settle
+
+    empty = settle(spark.range(5).filter("false"), "empty")
+    assert empty.fits and empty.df.count() == 0
