@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from longform import catalog
 from compare import connect, duck_result, spark_result
 
 SF = "/root/testdata/sf0.001"
@@ -16,7 +17,7 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_sql(spark, duck, name):
     got = spark_result(entry.queries()[name](spark, SF))
     want = duck_result(duck, entry.oracle_sql()[name])
