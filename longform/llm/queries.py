@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from longform.catalog.registry import table
-from longform.llm import quality_rules as rules
+from longform.llm import length_histogram, quality_rules as rules, repair_files
 from longform.llm.registry import ORACLE, QUERIES, query
+from longform.sources.storage import scratch_path, store
 
 __all__ = ["ORACLE", "QUERIES"]
 
+
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer file, the same on the driver and the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 SPACE_SQL = r"[^\x20\x09-\x0D]"
 
 QUALITY_RULES_SQL = rf"""
@@ -46,3 +54,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = rules.rule_ledger(table(spark, sf_dir, "documents"))
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return rules.apply_policy(ledger).select(*columns)
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = length_histogram.token_lengths(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    # the histogram is written, as several passes read it and none should encode again
+    histogram = store(length_histogram.length_histogram(lengths), "lengths")
+    return length_histogram.truncation_curve(length_histogram.suffix_sums(histogram))
+
+
+@query("op9_token_files")
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-ids")
+    repair_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"))
+    return repair_files.read_documents(spark, path)
