@@ -41,31 +41,38 @@ from longform.llm.word_tokens import encoder
 MAGIC = b"RPG1"
 NO_ID = -(2**63)
 BLOCK_IDS = 1_000_000
-ROUNDS = 8
-PAIRS_A_ROUND = 256
+ROUNDS = 5
+PAIRS_A_ROUND = 1024
 #: A pair must occur this often in a block to pay for its rule.
 MIN_COUNT = 24
+#: The top 17 bits of a pair's hash.
 BUCKETS = 1 << 17
 BLOCK_SCHEMA = "shard int, seq int, n_docs long, n_ids long, block binary"
 
 
+def bucket_of(keys):
+    import numpy as np
+
+    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(47)).astype(np.int32)
+
+
 def frequent_pairs(symbols, least: int, most: int):
-    """Up to ``most`` pairs that occur at least ``least`` times, as keys ``left << 32 | right``, most frequent first.
+    """All pairs as keys ``left << 32 | right``, each one's bucket, and up to ``most`` keys that occur at least ``least`` times.
 
     Pairs are first counted by a hash of them; only those in buckets that reach the least count are sorted.
     """
     import numpy as np
 
     keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-    slot = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(47)).astype(np.int32)
+    slot = bucket_of(keys)
     counts = np.bincount(slot, minlength=BUCKETS)
     if counts.max(initial=0) < least:
-        return keys, keys[:0]
+        return keys, slot, keys[:0]
     # the buckets beyond the most frequent ``most`` cannot hold more frequent pairs than the floor
     floor = max(least, int(np.partition(counts, -most)[-most]) // 2)
     found, n = np.unique(keys[counts[slot] >= floor], return_counts=True)
     order = np.argsort(-n, kind="stable")[:most]
-    return keys, found[order[n[order] >= least]]
+    return keys, slot, found[order[n[order] >= least]]
 
 
 def compress(ids, first: int, rounds: int = ROUNDS):
@@ -76,19 +83,26 @@ def compress(ids, first: int, rounds: int = ROUNDS):
     for _ in range(rounds):
         if len(symbols) < 2:
             break
-        keys, pairs = frequent_pairs(symbols, MIN_COUNT, PAIRS_A_ROUND)
+        keys, bucket, pairs = frequent_pairs(symbols, MIN_COUNT, PAIRS_A_ROUND)
         if not len(pairs):
             break
         ordered = np.sort(pairs)
-        slot = np.searchsorted(ordered, keys)
-        slot[slot == len(ordered)] = 0
-        at = np.flatnonzero(ordered[slot] == keys)
+        likely = np.zeros(BUCKETS, bool)
+        likely[bucket_of(ordered)] = True
+        at = np.flatnonzero(likely[bucket])
+        slot = np.minimum(np.searchsorted(ordered, keys[at]), len(ordered) - 1)
+        hit = ordered[slot] == keys[at]
+        at, slot = at[hit], slot[hit]
         # of matches that overlap, every second one from the left is replaced
         fresh = np.ones(len(at), bool)
         fresh[1:] = np.diff(at) > 1
         start = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - start) % 2 == 0]
-        used, which = np.unique(slot[at], return_inverse=True)
+        every = (np.arange(len(at)) - start) % 2 == 0
+        at, slot = at[every], slot[every]
+        used = np.flatnonzero(np.bincount(slot, minlength=len(ordered)))
+        place = np.zeros(len(ordered), np.int64)
+        place[used] = np.arange(len(used))
+        which = place[slot]
         chosen = ordered[used]
         rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         symbols[at] = (top + which).astype(np.uint32)
@@ -174,22 +188,22 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         import numpy as np
         import pandas as pd
 
-        shard, end = TaskContext.get().partitionId(), np.asarray([end_id], "<u4").tobytes()
-        seq, names, parts, held = 0, [], [], 0
+        shard, end = TaskContext.get().partitionId(), np.asarray([end_id], np.uint32)
+        seq, names, parts, ends, held = 0, [], [], [], 0
 
         def row():
-            ends = np.cumsum([len(p) // 4 for p in parts])
-            data = pack(names, ends, np.frombuffer(b"".join(parts), "<u4"), first)
-            return pd.DataFrame({"shard": [shard], "seq": [seq], "n_docs": [len(parts)], "n_ids": [held], "block": [data]})
+            data = pack(names, ends, np.concatenate(parts), first)
+            return pd.DataFrame({"shard": [shard], "seq": [seq], "n_docs": [len(ends)], "n_ids": [held], "block": [data]})
 
         for batch in batches:
-            for name, ids in zip(batch["doc_id"], encoder(tokenizer).encode(batch["text"].tolist()), strict=True):
+            for name, ids in zip(batch["doc_id"], encoder(tokenizer).encode_each(batch["text"].tolist()), strict=True):
                 names.append(NO_ID if pd.isna(name) else int(name))
-                parts.append(ids + end)
-                held += len(ids) // 4 + 1
+                parts += [ids, end]
+                held += len(ids) + 1
+                ends.append(held)
                 if held >= block_ids:
                     yield row()
-                    seq, names, parts, held = seq + 1, [], [], 0
+                    seq, names, parts, ends, held = seq + 1, [], [], [], 0
         if parts:
             yield row()
 

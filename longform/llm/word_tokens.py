@@ -9,46 +9,58 @@ encodes each different word once and looks the rest up. The table of words is bo
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from functools import lru_cache
 
-CACHED_WORDS = 400_000
-LONGEST_CACHED = 64
+import numpy as np
+
+from longform.llm.wordhash import WordTable, groups, split_words, utf8
+
+CACHED_WORDS = 1_500_000
+#: New words are encoded so many at a time, with a special token between them.
+JOINED_WORDS = 64
 
 
 class WordEncoder:
-    """Encodes texts to little-endian unsigned 32-bit ids."""
+    """Encodes texts to unsigned 32-bit ids."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        import numpy as np
+        special = [(i, t.content) for i, t in self._tokenizer.get_added_tokens_decoder().items() if t.special]
+        self._cut_id, self._cut = special[0] if special else (None, None)
+        self._table = WordTable(self._encode_words, np.uint32, CACHED_WORDS)
 
+    def _encode_words(self, words: list[bytes]) -> list[np.ndarray]:
         texts = [w.decode("utf-8", "replace") for w in words]
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def learn(self, texts: list[list[bytes]]) -> dict[bytes, bytes]:
-        """Ids of every word of some texts."""
-        new = set().union(*texts).difference(self._known) if texts else set()
-        long = {w for w in new if len(w) > LONGEST_CACHED}
-        short = list(new - long)
-        if len(self._known) + len(short) > CACHED_WORDS:
-            self._known = {}
-            short = list(set().union(*texts) - long)
-        self._known.update(zip(short, self._encode(short), strict=True))
-        return {**self._known, **dict(zip(long, self._encode(list(long)), strict=True))} if long else self._known
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        ids = self.learn(split)
-        return [b"".join([ids[w] for w in words]) for words in split]
-
-    def count(self, texts: list[str | None]) -> list[int]:
-        return [len(x) // 4 for x in self.encode(texts)]
+        out: list = [None] * len(texts)
+        # a special token ends what stands before it, so words joined by one are encoded as if alone
+        alone = [i for i, t in enumerate(texts) if self._cut is None or self._cut in t]
+        for i, e in zip(alone, self._tokenizer.encode_batch([texts[i] for i in alone], add_special_tokens=False), strict=True):
+            out[i] = np.asarray(e.ids, np.uint32)
+        rest = np.setdiff1d(np.arange(len(texts)), alone).tolist()
+        runs = [rest[k : k + JOINED_WORDS] for k in range(0, len(rest), JOINED_WORDS)]
+        joined = [self._cut.join([texts[i] for i in run]) for run in runs]
+        for run, e in zip(runs, self._tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.asarray(e.ids, np.uint32)
+            cuts = np.flatnonzero(ids == self._cut_id).tolist()
+            for i, a, b in zip(run, [-1, *cuts], [*cuts, len(ids)], strict=True):
+                out[i] = ids[a + 1 : b]
+        return out
+
+    def encode(self, texts: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For groups of the texts in order: all their ids, and the number of ids of each text."""
+        data = [utf8(t) for t in texts]
+        for part in groups(data):
+            yield self._table.look_up(split_words(data[part]))
+
+    def encode_each(self, texts: list) -> list[np.ndarray]:
+        return [x for ids, n in self.encode(texts) for x in np.split(ids, np.cumsum(n)[:-1])]
+
+    def count(self, texts: list) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.int64), *[n for _, n in self.encode(texts)]])
 
 
 @lru_cache(maxsize=2)
