@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from longform.catalog.registry import table
-from longform.llm import length_histogram, quality_rules as rules, repair_files
+from longform.llm import length_histogram, near_dedup, quality_rules as rules, repair_files
 from longform.llm.registry import ORACLE, QUERIES, query
 from longform.sources.storage import scratch_path, store
 
@@ -69,3 +69,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
     repair_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"))
     return repair_files.read_documents(spark, path)
+
+
+@query("op1_near_duplicates")
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
