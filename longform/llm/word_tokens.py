@@ -16,7 +16,7 @@ import numpy as np
 
 from longform.llm.wordhash import WordTable, groups, split_words, utf8
 
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 700_000
 #: New words are encoded so many at a time, with a special token between them.
 JOINED_WORDS = 64
 

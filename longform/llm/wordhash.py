@@ -15,7 +15,7 @@ import numpy as np
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 #: Texts are handled in groups of about so many bytes (one longer text makes a group of its own).
-GROUP_BYTES = 2_000_000
+GROUP_BYTES = 1_000_000
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -64,7 +64,7 @@ def split_words(texts: list[bytes], lower: bool = False) -> Words:
     raw = np.frombuffer(data, np.uint8)
     edges = np.flatnonzero(np.diff(_SPACE[raw], prepend=np.int8(1)))
     starts, ends = edges[0::2], edges[1::2]
-    power, inverse = _powers(max(1 << (len(raw) - 1).bit_length(), 1 << 21))
+    power, inverse = _powers(max(1 << (len(raw) - 1).bit_length(), 1 << 20))
     total = np.zeros(len(raw) + 1, U)
     np.cumsum((_LOWERED if lower else _VALUES)[raw] * power[: len(raw)], out=total[1:])
     hashes = mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(U))
