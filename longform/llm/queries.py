@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from longform.catalog.registry import table
-from longform.llm import length_histogram, near_dedup, quality_rules as rules, repair_files
+from longform.llm import byte_cnn, length_histogram, near_dedup, quality_rules as rules, repair_files
 from longform.llm.registry import ORACLE, QUERIES, query
 from longform.sources.storage import scratch_path, store
 
@@ -74,3 +74,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_near_duplicates")
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query("op4_quality_classifier")
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = byte_cnn.score(docs, byte_cnn.train(docs, table(spark, sf_dir, "labels")))
+    predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0)
+    return scores.select("doc_id", byte_cnn.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
