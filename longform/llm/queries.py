@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from longform.catalog.registry import table
-from longform.llm import byte_cnn, length_histogram, near_dedup, quality_rules as rules, repair_files
+from longform.llm import byte_cnn, length_histogram, near_dedup, pii, quality_rules as rules, repair_files
 from longform.llm.registry import ORACLE, QUERIES, query
 from longform.sources.storage import scratch_path, store
 
@@ -82,3 +82,15 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = byte_cnn.score(docs, byte_cnn.train(docs, table(spark, sf_dir, "labels")))
     predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0)
     return scores.select("doc_id", byte_cnn.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query("op8_pii")
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{pii.KINDS[k]}")
+    return found.select(
+        "doc_id",
+        *[count(k) for k in range(4)],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.concat("base", "terms")).alias("spans"),
+    )
