@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from longform.catalog.registry import table
-from longform.llm import byte_cnn, length_histogram, near_dedup, pii, quality_rules as rules, repair_files
+from longform.llm import byte_cnn, decontamination, length_histogram, near_dedup, pii, quality_rules as rules, repair_files
 from longform.llm.registry import ORACLE, QUERIES, query
 from longform.sources.storage import scratch_path, store
 
@@ -94,3 +94,8 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
         pii.listed(F.concat("base", "terms")).alias("spans"),
     )
+
+
+@query("op2_decontamination")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
