@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from longform.catalog.registry import table
-from longform.llm import byte_cnn, decontamination, length_histogram, near_dedup, nbest, pii, quality_rules as rules, repair_files
+from longform.llm import byte_cnn, decontamination, length_histogram, near_dedup, nbest, pii, quality_rules as rules, repair_files, substring_dedup
 from longform.llm.registry import ORACLE, QUERIES, query
 from longform.sources.storage import scratch_path, store
 
@@ -104,3 +104,8 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_nbest_segmentation")
 def op7_nbest_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbest.segmentations(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), n=4)
+
+
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
