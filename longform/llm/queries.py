@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from longform.catalog.registry import table
-from longform.llm import byte_cnn, decontamination, length_histogram, near_dedup, nbest, pii, quality_rules as rules, repair_files, substring_dedup
+from longform.llm import byte_cnn, decontamination, length_histogram, near_dedup, nbest, pii, quality_rules as rules, repair_files, secret_scan, substring_dedup
 from longform.llm.registry import ORACLE, QUERIES, query
 from longform.sources.storage import scratch_path, store
 
@@ -109,3 +109,13 @@ def op7_nbest_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_substring_dedup")
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op3_secret_scan")
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.findings(docs, secret_scan.letter_pairs(docs), secret_scan.dictionary(docs))
+    found = secret_scan.weak_labels(store(found, "findings"))
+    held_out = byte_cnn.held_out(F.col("doc_id"))
+    scored = secret_scan.scan(found, secret_scan.train(found.where(~held_out)))
+    return scored.select("doc_id", "start", "stop", held_out.alias("held_out"), F.col("label").cast("int").alias("label"), "score", "secret")
