@@ -93,7 +93,7 @@ def utf8(text) -> bytes:
 class WordTable:
     """Values (arrays of numbers) by word, learned as words come up.
 
-    ``learn`` is called with words not yet in the table and returns the values of each. The
+    ``learn`` is called with words not yet in the table and returns the values (a sequence) of each. The
     table is bounded by ``most`` words: beyond it starts anew. Looking a word up costs a
     binary search over hashes.
     """
@@ -122,7 +122,8 @@ class WordTable:
         each = self._learn([words.word(i) for i in where])
         size = np.fromiter(map(len, each), np.int64, len(each))
         at = len(self._values) + np.cumsum(size) - size
-        self._values = np.concatenate([self._values, *each]).astype(self._dtype, copy=False)
+        fresh = np.fromiter((x for values in each for x in values), self._dtype, int(size.sum()))
+        self._values = np.concatenate([self._values, fresh])
         hashes = np.concatenate([self._hashes, seen])
         order = np.argsort(hashes, kind="stable")
         self._hashes = hashes[order]
