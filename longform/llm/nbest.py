@@ -118,14 +118,14 @@ class Lattice:
         return best
 
     def search(self, part: str, n: int) -> list[tuple[float, list[int]]]:
-        """The n best segmentations of a part, best first, by backward A*; ties in order of discovery."""
+        """The n best segmentations of a part, best first, by backward A*; of equal states the one nearer to the start goes first."""
         if not part:
             return [(0.0, [])]
         arcs = self.arcs(part)
         ahead = self.forward(arcs)
-        queue, found, tick = [(-ahead[-1], 0, len(part), 0.0, None)], [], 0
+        queue, found, tick = [(-ahead[-1], len(part), 0, 0.0, None)], [], 0
         while queue and len(found) < n:
-            _, _, place, behind, path = heapq.heappop(queue)
+            _, place, _, behind, path = heapq.heappop(queue)
             if place == 0:
                 pieces: list[int] = []
                 while path is not None:
@@ -135,7 +135,7 @@ class Lattice:
                 continue
             for start, score, i in arcs[place]:
                 tick += 1
-                heapq.heappush(queue, (-(ahead[start] + behind + score), tick, start, behind + score, ((start, place, i), path)))
+                heapq.heappush(queue, (-(ahead[start] + behind + score), start, tick, behind + score, ((start, place, i), path)))
         return found
 
     def bytes_of(self, char: str) -> list[int]:

@@ -38,9 +38,10 @@ HASHES = 128
 BATCH = 32
 BAND_MISS = 1e-6
 MISS = 1e-6
-HUB_ROUNDS = 2
-#: Members of a bucket that meet in one task in the last step.
-BLOCK = 1024
+HUB_ROUNDS = 1
+#: Members of a bucket, and shingles of theirs, that make a block in the last step.
+BLOCK = 512
+BLOCK_SHINGLES = 2_000_000
 SIGNATURE = "doc_id long, n_shingles long, name binary, sig binary"
 
 
@@ -116,9 +117,9 @@ def credible_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(verify, "a long, b long")
 
 
-def exact_links(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full shingle sets reach the threshold. Only the texts that occur in a pair are read again."""
-    wanted = settle(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
+def shingle_table(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, shingles) of some doc_ids: only their texts are read again."""
+    wanted = settle(nodes.select(F.col("node").alias("doc_id")).distinct(), "wanted-ids")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def sets(batches: Iterator) -> Iterator:
@@ -132,70 +133,97 @@ def exact_links(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             yield pd.DataFrame({"node": batch["doc_id"].astype(np.int64), "shingles": each})
 
     full = join_small(texts, wanted.df, ["doc_id"], "inner", fits=wanted.fits).mapInPandas(sets, "node long, shingles binary")
-    full = store(full, "shingle-sets")
+    return store(full.where("length(shingles) > 0"), "shingle-sets")
+
+
+def reaches(x, others: list, percent: int):
+    """For one sorted set and several: whether their similarity is percent / 100 or more."""
+    import numpy as np
+
+    sizes = np.array([len(y) for y in others])
+    flat = np.concatenate(others)
+    hit = x[np.minimum(np.searchsorted(x, flat), len(x) - 1)] == flat
+    both = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * both >= percent * (len(x) + sizes - both)
+
+
+def exact_links(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full shingle sets reach the threshold."""
+    full = shingle_table(pairs.select(F.explode(F.array("a", "b")).alias("node")), docs)
     side = lambda name: full.select(F.col("node").alias(name), F.col("shingles").alias(f"set_{name}"))
 
     def decide(batches: Iterator) -> Iterator:
         import numpy as np
 
         for batch in batches:
-            good = []
-            for x, y in zip(batch["set_a"], batch["set_b"], strict=True):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-            yield batch[good][["a", "b"]]
+            sets = [(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")) for x, y in zip(batch["set_a"], batch["set_b"], strict=True)]
+            yield batch[[bool(reaches(x, [y], percent)[0]) for x, y in sets]][["a", "b"]]
 
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(decide, "a long, b long").distinct()
 
 
 def hub_pairs(buckets: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
     """(pairs of a hub with each member of its bucket in another component, buckets without their hubs)."""
-    hubs = buckets.groupBy("bucket").agg(
+    hubs = buckets.groupBy("bucket", "band").agg(
         F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")).alias("hub"),
         F.min("root").alias("low"),
         F.max("root").alias("high"),
     )
-    open_ = buckets.join(hubs.where("low < high").select("bucket", "hub"), "bucket").where(F.col("node") != F.col("hub.node"))
+    open_ = buckets.join(hubs.where("low < high").select("bucket", "band", "hub"), ["bucket", "band"]).where(F.col("node") != F.col("hub.node"))
     ordered = [F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")]
     pairs = open_.where(F.col("root") != F.col("hub.root")).select(*ordered).distinct()
-    return pairs, open_.select("bucket", "node", "root")
+    return pairs, open_.select("bucket", "band", "node", "root")
+
 
+def block_links(buckets: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, rows: int) -> DataFrame:
+    """Links that join the components still apart within a bucket, found block by block.
 
-def block_pairs(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """All credible pairs of a bucket between different components, compared block by block inside tasks."""
-    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    sizes = sizes.where("low < high").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    dealt = buckets.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node", F.lit(77)), F.col("blocks")).cast("int"))
+    A task gets two blocks of a bucket with signatures and full sets. It compares each pair once (in
+    the first band that the pair shares), only between members that it has not joined yet, and returns
+    only links that join: fewer than its members, however many pairs there are.
+    """
+    sizes = buckets.join(classes.select("node", "n_shingles"), "node").groupBy("bucket", "band").agg(
+        F.count("*").alias("n"), F.sum("n_shingles").alias("held"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("held") / BLOCK_SHINGLES)).cast("int")
+    sizes = store(sizes.where("low < high").select("bucket", "band", blocks.alias("blocks")), "open-buckets")
+    dealt = buckets.join(sizes, ["bucket", "band"]).withColumn("block", F.pmod(F.xxhash64("node", F.lit(77)), F.col("blocks")).cast("int"))
+    dealt = store(dealt, "open-members")
+    full = shingle_table(dealt.select("node"), docs)
     # block i meets every block j; the pair of blocks is named by the smaller and the larger
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select(
-        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "root", "block"
-    )
-    signed = met.join(classes.select("node", "sig"), "node")
+    met = met.select("bucket", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "root", "block")
+    signed = met.join(classes.select("node", "sig"), "node").join(full, "node")
 
     def compare(group):
         import numpy as np
         import pandas as pd
 
-        i, j = group["i"].iloc[0], group["j"].iloc[0]
-        left, right = group[group["block"] == i], group[group["block"] == j]
+        i, j, band = group["i"].iloc[0], group["j"].iloc[0], int(group["band"].iloc[0])
+        nodes, blocks, roots = group["node"].to_numpy(), group["block"].to_numpy(), group["root"].to_numpy().copy()
+        sigs, sets = _matrix(group["sig"]), [np.frombuffer(x, "<u8") for x in group["shingles"]]
+        order = np.argsort(nodes, kind="stable")
         out = []
-        if len(left) and len(right):
-            other, nodes, roots = _matrix(right["sig"]), right["node"].to_numpy(), right["root"].to_numpy()
-            for node, root, sig in zip(left["node"], left["root"], _matrix(left["sig"]), strict=True):
-                rest = np.flatnonzero((roots != root) & (nodes > node if i == j else nodes != node))
-                if len(rest):
-                    good = rest[agreeing(np.broadcast_to(sig, (len(rest), len(sig))), other[rest], percent)]
-                    out += [(min(node, x), max(node, x)) for x in nodes[good]]
+        for x in order[blocks[order] == i]:
+            later = nodes > nodes[x] if i == j else nodes != nodes[x]
+            rest = np.flatnonzero((blocks == j) & later & (roots != roots[x]))
+            rest = rest[agreeing(np.broadcast_to(sigs[x], (len(rest), sigs.shape[1])), sigs[rest], percent)]
+            if band and len(rest):
+                before = (sigs[rest, : band * rows] == sigs[x, : band * rows]).reshape(len(rest), band, rows).all(2).any(1)
+                rest = rest[~before]
+            if len(rest):
+                for y in rest[reaches(sets[x], [sets[k] for k in rest], percent)]:
+                    if roots[y] != roots[x]:
+                        out.append((min(nodes[x], nodes[y]), max(nodes[x], nodes[y])))
+                        roots[roots == roots[y]] = roots[x]
         return pd.DataFrame(out, columns=["a", "b"]).astype(np.int64)
 
-    return signed.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    return signed.groupBy("bucket", "band", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
 def _with_roots(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     named = buckets.drop("root").join(roots, "node", "left")
-    return named.select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    return named.select("bucket", "band", "node", F.coalesce("root", "node").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -204,7 +232,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     classes = (
         signed.where("name IS NOT NULL")
         .groupBy("name")
-        .agg(F.min("doc_id").alias("node"), F.min("sig").alias("sig"), F.count("*").alias("copies"))
+        .agg(F.min("doc_id").alias("node"), F.min("sig").alias("sig"), F.min("n_shingles").alias("n_shingles"), F.count("*").alias("copies"))
     )
     classes = store(classes, "classes")
     rows = band_rows(percent)
@@ -212,9 +240,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         F.sequence(F.lit(0), F.lit(HASHES // rows - 1)),
         lambda b: F.xxhash64(b, F.substring("sig", b * 4 * rows + 1, F.lit(4 * rows))),
     )
-    banded = classes.select("node", F.explode(bands).alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    at = settle(banded.join(shared, "bucket").select("bucket", "node", F.col("node").alias("root")), "buckets", n=F.count("*"))
+    banded = classes.select("node", F.posexplode(bands).alias("band", "bucket"))
+    shared = banded.groupBy("bucket", "band").agg(F.count("*").alias("n")).where("n > 1").select("bucket", "band")
+    members = banded.join(shared, ["bucket", "band"]).select("bucket", "band", "node", F.col("node").alias("root"))
+    at = settle(members, "buckets", n=F.count("*"))
 
     # texts of one doc_id belong together, whatever their classes
     repeated = classes.where("copies > 1").select("name", "node")
@@ -231,12 +260,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         if turn < HUB_ROUNDS:
             pairs, rest = hub_pairs(buckets, turn)
             at = settle(rest, "buckets", n=F.count("*"))
-            found = credible_pairs(pairs, classes, percent)
+            found = settle(credible_pairs(pairs, classes, percent), "credible", n=F.count("*"))
+            new = exact_links(found.df, docs, percent) if found.metrics["n"] else None
         else:
-            found = block_pairs(buckets, classes, percent)
-        found = settle(found, "credible", n=F.count("*"))
-        if found.metrics["n"]:
-            links = store(links.unionByName(exact_links(found.df, docs, percent).toDF("u", "v")), "links-found")
+            new = block_links(buckets, classes, docs, percent, rows)
+        if new is not None:
+            links = store(links.unionByName(new.toDF("u", "v")), "links-found")
             roots = components(links)
 
     result = signed.select("doc_id", "n_shingles", "name").join(repeated.withColumnRenamed("node", "first"), "name", "left")

@@ -19,13 +19,13 @@ _LOW = U((1 << 24) - 1)
 
 def prefix_sums(raw: np.ndarray) -> np.ndarray:
     total = np.zeros(len(raw) + 1, U)
-    np.cumsum(_VALUES[raw] * _powers(2 * PIECE)[0][: len(raw)], out=total[1:])
+    np.cumsum(_VALUES[raw] * _powers(2 * PIECE + 4 * LENGTH)[0][: len(raw)], out=total[1:])
     return total
 
 
 def hash_between(total: np.ndarray, start: np.ndarray, stop: np.ndarray, salt: np.ndarray | int = 0) -> np.ndarray:
     """64-bit hashes of the bytes from start to stop."""
-    return mix((total[stop] - total[start]) * _powers(2 * PIECE)[1][start] + np.asarray(salt).astype(U), 3)
+    return mix((total[stop] - total[start]) * _powers(2 * PIECE + 4 * LENGTH)[1][start] + np.asarray(salt).astype(U), 3)
 
 
 def triggers(raw: np.ndarray, valid: np.ndarray, total: np.ndarray) -> np.ndarray:

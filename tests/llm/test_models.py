@@ -1,0 +1,121 @@
+"""The quality classifier, the secret scan and the quality rules."""
+
+import random
+
+import numpy as np
+import pytest
+
+from compare import connect, duck_result, spark_result
+from longform.llm import byte_cnn, quality_rules, secret_scan
+from longform.llm.queries import ORACLE, QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def noisy(rng, junk):
+    words = ["".join(rng.choice("aeiounrst") for _ in range(rng.randint(2, 8))) for _ in range(rng.randint(20, 200))]
+    return " ".join(w + rng.choice(["###", "$$$", "***"]) for w in words) if junk else " ".join(words)
+
+
+@pytest.fixture(scope="module")
+def labelled(spark, documents):
+    rng = random.Random(4)
+    rows = [(i, noisy(rng, i % 4 == 0)) for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 4 != 0), 0) for i, _ in rows] + [(999, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    return documents(rows), labels
+
+
+def test_classifier_on_held_out_documents(labelled):
+    docs, labels = labelled
+    net = byte_cnn.train(docs, labels, epochs=6)
+    from pyspark.sql import functions as F
+
+    rows = byte_cnn.score(docs, net).withColumn("held_out", byte_cnn.held_out(F.col("doc_id"))).collect()
+    held = [(r.score >= 0.3, r.doc_id % 4 != 0) for r in rows if r.held_out]
+    assert len(rows) == 300 and 30 < len(held) < 100
+    assert np.mean([a == b for a, b in held]) > 0.95
+    kept = byte_cnn.keep_good(docs, net)
+    assert kept.columns == docs.columns and abs(kept.count() - 225) < 10
+
+
+def test_scores_do_not_depend_on_batches():
+    net, rng = byte_cnn.Network.fresh(3), random.Random(1)
+    texts = [noisy(rng, False).encode() * rng.choice([1, 5, 300]) for _ in range(12)] + [b"", b"x"]
+    scorer = byte_cnn.Scorer(net)
+    alone = [scorer.score([t])[0] for t in texts]
+    assert np.allclose(scorer.score(texts), alone)
+    # against a plain convolution over all chunks
+    for text, got in zip(texts[:3] + texts[-2:], alone[:3] + alone[-2:]):
+        data = byte_cnn.padded(text) + bytes(byte_cnn.WIDTH)
+        x = np.frombuffer(data, np.uint8)
+        n = len(x) - byte_cnn.WIDTH
+        conv = sum(net.filters[k][x[k : k + n]] for k in range(byte_cnn.WIDTH))
+        blocks = [conv[a : a + byte_cnn.BLOCK].max(0) for a in range(0, n, byte_cnn.BLOCK)]
+        chunks = [np.maximum(np.maximum(a, b) + net.bias, 0) for a, b in zip(blocks, blocks[1:])] or [np.maximum(blocks[0] + net.bias, 0)]
+        features = np.concatenate([np.mean(chunks, 0), np.max(chunks, 0)])
+        logit = np.maximum(features @ net.dense + net.dense_bias, 0) @ net.out + net.out_bias[0]
+        assert abs(got - 1 / (1 + np.exp(-logit))) < 1e-4
+
+
+def test_classifier_without_usable_labels(spark, awkward, nothing, labelled):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r.score for r in byte_cnn.score(awkward, byte_cnn.train(awkward, none)).collect()} == {0.5}
+    one = spark.createDataFrame([(i, 1) for i in range(10)], "doc_id long, quality int")
+    assert byte_cnn.train(awkward, one).constant == 1.0
+    net = byte_cnn.Network.fresh()
+    assert byte_cnn.score(awkward, net).count() == awkward.count() and byte_cnn.keep_good(nothing, net).count() == 0
+
+
+def test_secret_scan(documents, awkward, nothing):
+    rng = random.Random(2)
+    hexes = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    rows = [(i, f'some filler words here token = "{hexes()}" and more words') for i in range(0, 120, 2)]
+    rows += [(i, f"some filler words here order {rng.randint(10**15, 10**16)} sha1 {hexes()} and more") for i in range(1, 120, 2)]
+    docs = documents(rows)
+    pairs, words = secret_scan.letter_pairs(docs), secret_scan.dictionary(docs)
+    assert len(pairs) == 28 * 28 and "filler" in words
+    found = secret_scan.weak_labels(secret_scan.findings(docs, pairs, words))
+    got = secret_scan.scan(found, secret_scan.train(found.where("doc_id % 3 > 0"))).where("doc_id % 3 = 0").collect()
+    assert got and all(r.secret == (r.label == 1) for r in got)
+    text = dict(rows)
+    assert all(text[r.doc_id][r.start : r.stop] == r.name for r in got)
+    for docs in (awkward, nothing):
+        found = secret_scan.weak_labels(secret_scan.findings(docs, secret_scan.letter_pairs(docs), secret_scan.dictionary(docs)))
+        assert secret_scan.scan(found, secret_scan.train(found)).where("secret").count() == 0
+
+
+def test_quality_rules_match_sql(spark):
+    got = spark_result(QUERIES["op10_quality_rules"](spark, SF))
+    assert got == duck_result(connect(SF), ORACLE["op10_quality_rules"])
+
+
+def measures(text):
+    words = (text or "").encode().split()
+    grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    covered = {i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(3)}
+    return len(words), len(covered)
+
+
+def test_quality_rules_by_hand(documents, awkward, nothing):
+    rows = [(1, None), (2, ""), (3, "a b c a b c"), (4, "a a a a"), (5, "a b c d"), (6, "x y z\n\nx y z\nq\n \nq"), (7, "A# B$ ##"), (8, " lead  x")]
+    got = {r.doc_id: r for r in quality_rules.rule_ledger(documents(rows)).collect()}
+    for i, text in rows:
+        assert (got[i].n_words, got[i].n_repeat_words) == measures(text), text
+    assert (got[6].n_lines, got[6].n_dup_lines) == (4, 2) and got[7].n_symbols == 4
+    assert quality_rules.rule_ledger(awkward).count() == awkward.count() and quality_rules.rule_ledger(nothing).count() == 0
+
+
+def test_policies_and_ablations(documents):
+    good = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, good), (2, "short"), (3, good + " ####" * 60), (4, "same same " * 60)]
+    ledger = quality_rules.rule_ledger(documents(rows)).cache()
+    kept = lambda v: {r.doc_id for r in quality_rules.apply_policy(ledger, v).where("kept").collect()}
+    assert kept("v1") == {1, 3} or kept("v1") == {1}
+    assert kept("v3") == {1}
+    by_rule = {r["rule"]: r for r in quality_rules.ablations(ledger).collect()}
+    assert by_rule["few_words"].n_failed == 1 and by_rule["few_words"].n_docs == 4
+    for name, row in by_rule.items():
+        bits = [r.failed & quality_rules.mask_of(quality_rules.POLICIES["v3"]) for r in ledger.collect()]
+        bit = quality_rules.mask_of((name,))
+        assert row.n_failed == sum(bool(b & bit) for b in bits) and row.n_failed_alone == sum(b == bit for b in bits)
+        assert row.n_kept_without == sum(not b & ~bit for b in bits)
