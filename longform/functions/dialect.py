@@ -14,7 +14,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
-UTF8 = ("utf-8", "utf8")
+#: Names that Python gives to encodings, and what they are decoded as. Others go to Spark's ``decode`` as they are.
+UTF8 = ("utf-8", "utf8", "utf-8-sig")
+LATIN = ("latin-1", "latin1", "iso-8859-1", "iso8859-1", "l1")
+WINDOWS = ("cp1252", "windows-1252", "1252")
+
+
+def _windows_letters() -> tuple[str, str]:
+    """The control characters of Latin-1 that stand for letters and signs in Windows-1252, and these."""
+    pairs = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)]
+    return "".join(a for a, b in pairs if b), "".join(b for _, b in pairs)
 
 
 def _escaped(ch: str) -> str:
@@ -39,7 +48,7 @@ class CsvDialect:
 
     @property
     def is_utf8(self) -> bool:
-        return self.encoding.lower() in UTF8
+        return self.encoding.lower().replace("_", "-") in UTF8
 
     # -- pattern pieces: possessive, so Java matches them without recursion ----
 
@@ -76,7 +85,21 @@ class CsvDialect:
     # -- expressions ----------------------------------------------------------
 
     def decoded(self, value: Column) -> Column:
-        return value if self.is_utf8 else F.decode(value.cast("binary"), self.encoding)
+        """A line's text. The line's end is cut here where the scan leaves half of it (UTF-16)."""
+        if self.is_utf8:
+            return value
+        name = self.encoding.lower().replace("_", "-")
+        if name in LATIN or name in WINDOWS:
+            text = F.decode(value.cast("binary"), "ISO-8859-1")
+            return F.translate(text, *_windows_letters()) if name in WINDOWS else text
+        text = F.decode(value.cast("binary"), self.encoding)
+        if name.startswith("utf-16"):
+            text = F.regexp_replace(text, "\\A\ufeff|\r\\z", "")
+        return text
+
+    def is_broken(self, value: Column) -> Column:
+        """Whether a line as read is not valid in the encoding; single-byte encodings always are."""
+        return ~F.is_valid_utf8(value) if self.is_utf8 else F.lit(False)
 
     def is_plain(self, record: Column) -> Column:
         """No quote, escape or skipped blank: the record is a plain ``split``."""

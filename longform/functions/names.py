@@ -77,8 +77,9 @@ def vendor_of(file_name: Column, prefixes: Mapping[str, str] = VENDOR_PREFIXES)
 def logical_file_name(file_path: Column) -> Column:
     """The ``*.csv`` segment of a path: the file itself, or its folder of part files."""
     plain = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
-    named = F.regexp_extract(plain, r"/(?:[^/=]+=)?([^/]+\.csv)(?:/[^/]+)?$", 1)
-    return F.when(named != "", named).otherwise(F.element_at(F.split(plain, "/"), -1))
+    # a folder of part files may be a partition (name=value); a file keeps its whole name
+    folder = F.regexp_extract(plain, r"/(?:[^/=]+=)?([^/]+\.csv)/[^/]+$", 1)
+    return F.when(folder != "", folder).otherwise(F.element_at(F.split(plain, "/"), -1))
 
 
 def defects(name: Column, known: Mapping[str, str] = KNOWN_TYPOS) -> dict[str, Column]:

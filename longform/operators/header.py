@@ -111,9 +111,11 @@ def with_columns(header: DataFrame) -> DataFrame:
 def drop_unnamed_columns(grid: DataFrame, header: DataFrame) -> DataFrame:
     """Rows below the header without the cells of unnamed columns.
 
-    Cells beyond the header's width go as well; a short row stays short.
+    Cells beyond the header's width have no column and stay; a short row stays short.
     """
-    body = after_header(grid, with_columns(header))
+    width = header.select("file_id", "header_line_no", named_columns(F.col("header_cells")).alias("columns"), F.size("header_cells").alias("_width"))
+    body = after_header(grid, width)
     inside = F.filter("columns", lambda c: c["source_column_index"] <= F.size("cells"))
     kept = F.transform(inside, lambda c: F.get(F.col("cells"), c["source_column_index"] - 1))
-    return body.withColumn("cells", kept).drop("columns")
+    beyond = F.slice("cells", F.col("_width") + 1, F.greatest(F.size("cells") - F.col("_width"), F.lit(0)))
+    return body.withColumn("cells", F.concat(kept, beyond)).drop("columns", "_width")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window, functions as F
 
 from longform.functions.values import surrogate_key
-from longform.sources.storage import join_small, settle
+from longform.sources.storage import join_small, pin_splits, placed_in_split, settle
 
 
 def with_provenance(df: DataFrame, data_source: str, ingestion_id: str | None = None) -> DataFrame:
@@ -35,9 +36,16 @@ def with_row_id(df: DataFrame) -> DataFrame:
 def with_file_row_number(df: DataFrame) -> DataFrame:
     """Gapless 1-based ``file_row_number`` per file, in file order, without shuffling rows.
 
-    ``df`` comes straight from a file source. Row ids of a file split are consecutive,
-    so one summary row per split turns them into numbers.
+    ``df`` comes straight from a file source. Parquet knows the row's place in its file. Of other
+    formats the row ids of a file split are consecutive, so one summary row per split turns
+    them into numbers; the number of splits is pinned, and a scan that is cut
+    differently all the same fails.
     """
+    try:
+        return df.withColumn("file_row_number", F.col("_metadata.row_index") + 1)
+    except AnalysisException:
+        pass  # no such field: the source is not Parquet
+    pin_splits(df.sparkSession)
     tagged = df.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
@@ -49,12 +57,11 @@ def with_file_row_number(df: DataFrame) -> DataFrame:
         tagged.groupBy("_file", "_part")
         .agg(F.min("_seq").alias("_start"), F.count("*").alias("_n"))
         .withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
     )
     splits = settle(splits, "file-splits")
-    numbered = join_small(tagged, splits.df, ["_file", "_part"], "inner", fits=splits.fits)
-    number = F.col("_first") + F.col("_seq") - F.col("_start") + 1
-    return numbered.withColumn("file_row_number", number).drop("_file", "_part", "_seq", "_start", "_first")
+    numbered = join_small(tagged, splits.df, ["_file", "_part"], "left", fits=splits.fits)
+    number = F.coalesce("_first", F.lit(0)) + placed_in_split(F.col("_seq"), F.col("_start"), F.col("_n")) + 1
+    return numbered.withColumn("file_row_number", number).drop("_file", "_part", "_seq", "_start", "_n", "_first")
 
 
 def ingestion_audit(cells: DataFrame, ingestion_id: str) -> DataFrame:

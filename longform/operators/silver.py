@@ -110,10 +110,10 @@ def mapping_integrity(mapping: DataFrame, canonical: DataFrame) -> DataFrame:
         .select(F.lit("duplicate_canonical").alias("problem"), "key", "occurrences")
     )
     again = (
-        mapping.groupBy(F.concat_ws("|", "vendor_id", "vendor_column_name").alias("key"))
+        mapping.groupBy("vendor_id", "vendor_column_name")
         .agg(F.count("*").alias("occurrences"))
         .filter("occurrences > 1")
-        .select(F.lit("duplicate_mapping").alias("problem"), "key", "occurrences")
+        .select(F.lit("duplicate_mapping").alias("problem"), F.concat_ws("|", "vendor_id", "vendor_column_name").alias("key"), "occurrences")
     )
     # counting per id first leaves one row per id to compare, whatever id is hot
     used = mapping.groupBy("canonical_column_id").agg(F.count("*").alias("occurrences"))

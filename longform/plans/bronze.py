@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -19,7 +19,7 @@ from longform.functions.names import (
 )
 from longform.operators.cells import explode_cells
 from longform.operators.header import detect_header_argmax, named_columns, threshold_by_vendor
-from longform.sources.csv_lines import RecordScan, scan_lines, scan_records
+from longform.sources.csv_lines import NO_HEADER, RecordScan, empty_files, scan_lines, scan_records
 from longform.sources.storage import settle
 
 
@@ -43,7 +43,7 @@ def header_table(scan: RecordScan, dialect: CsvDialect, prefixes: Mapping[str, s
     """file_id, file_name, vendor_id, line_count, header_line_no, header_cells, columns."""
     cells = dialect.cells(F.col("header"))
     return (
-        scan.files.filter(F.col("error").isNull())
+        scan.files.filter(F.col("header_line_no").isNotNull())
         .withColumn("header_cells", cells)
         .select(
             "file_id",
@@ -84,11 +84,13 @@ def land_lines(
 def land_long(spark: SparkSession, path: str | list[str], dialect: CsvDialect = CsvDialect(), **options) -> Landing:
     """Every CSV file below ``path`` as long cells, in two scans and no shuffle of rows.
 
-    A file without a header becomes a row of ``errors`` and stops nothing else.
+    A file without a header or without a byte becomes a row of ``errors`` and stops nothing else. So does a
+    file whose last quote is never closed or whose text is not valid in its encoding; its cells land all the same.
     ``threshold`` may be one number or one per vendor. ``ingested_at`` is one
     timestamp for the whole run.
     """
-    return land_lines(scan_lines(spark, path, dialect), dialect, **options)
+    landing = land_lines(scan_lines(spark, path, dialect), dialect, **options)
+    return replace(landing, errors=landing.errors.unionByName(empty_files(spark, path)))
 
 
 def wide_rows(rows: DataFrame, superset: Sequence[str]) -> DataFrame:

@@ -17,8 +17,10 @@ Only files in which some line leaves a quoted field open take the longer path
 that glues lines together (``_glued_records``).
 
 Row ids come from ``monotonically_increasing_id`` on the bare scan. Both passes
-use one DataFrame, hence one file listing and one plan of splits; a retried task
-gives the same ids.
+use one DataFrame, hence one file listing, and the number of splits is pinned
+(``pin_splits``), so they are cut alike whatever the cluster's size is by then; a retried
+task gives the same ids. Should the plan change all the same, the second pass fails
+rather than lose a line.
 """
 
 from __future__ import annotations
@@ -29,13 +31,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, fun
 
 from longform.functions.dialect import CsvDialect
 from longform.functions.names import logical_file_name
-from longform.sources.storage import fits_broadcast, join_small, settle, store
-
-# A record of several lines with more text than this is an unclosed quote; its file is
-# reported as an error. (Python's reader refuses a single cell beyond 128 Ki characters.)
-MAX_RECORD_CHARS = 16 * 1024 * 1024
+from longform.sources.storage import fits_broadcast, join_small, pin_splits, placed_in_split, settle, store
 
 NO_HEADER = "Could not find header row."
+UNCLOSED = "Quoted field is never closed."
+EMPTY = "File is empty."
+UNDECODABLE = "File is not valid in its encoding."
 
 SPLIT = ["file_id", "part"]
 
@@ -45,7 +46,8 @@ class RecordScan:
     """Numbered records of a set of files.
 
     ``records``: file_id, part, line_no (0-based), record.
-    ``files``: file_id, file_name, line_count, header_line_no, header, error; one row per file.
+    ``files``: file_id, file_name, line_count, header_line_no, header, error; one row per file. A file
+    with a header may have an error too, which then concerns only a part of it.
     ``splits``: file_id, part; one row per file split.
     """
 
@@ -104,6 +106,7 @@ def _split_summary(lines: DataFrame, dialect: CsvDialect, threshold: Column | in
         F.count("*").alias("line_count"),
         F.min("wide_at").alias("wide_at"),
         F.min_by("value", "wide_at").alias("wide_text"),
+        F.max(F.when(dialect.is_broken(F.col("value")), 1).otherwise(0)).alias("undecodable"),
         # a set, not bool_or, for the reason given at empty_set
         F.collect_set(F.when(dialect.leaves_open(F.col("value")), F.lit(True))).alias("opens"),
     )
@@ -123,17 +126,21 @@ def _place_splits(summary: DataFrame) -> DataFrame:
     return placed.select(
         *SPLIT,
         "start_seq",
+        "line_count",
         "first_line",
         F.sum("line_count").over(whole).alias("file_lines"),
+        F.max("undecodable").over(whole).alias("undecodable"),
         F.first(header, ignorenulls=True).over(whole).alias("header"),
         F.max(F.size("opens")).over(whole).alias("opens"),
     )
 
 
 def number_lines(lines: DataFrame, splits: DataFrame, fits: bool | None = None) -> DataFrame:
-    """Lines (with ``seq``) with their 0-based number in the file: file_id, part, line_no, value."""
-    placed = join_small(lines, splits.select(*SPLIT, "start_seq", "first_line"), SPLIT, "inner", fits=fits)
-    return placed.select(*SPLIT, (F.col("first_line") + F.col("seq") - F.col("start_seq")).alias("line_no"), "value")
+    """Lines (with ``seq``) with their 0-based number in the file: file_id, part, line_no, value, and the split's ``opens``."""
+    narrow = splits.select(*SPLIT, "start_seq", "line_count", "first_line", "opens")
+    placed = join_small(lines, narrow, SPLIT, "left", fits=fits)
+    at = placed_in_split(F.col("seq"), F.col("start_seq"), F.col("line_count"))
+    return placed.select(*SPLIT, (F.coalesce("first_line", F.lit(0)) + at).alias("line_no"), "value", "opens")
 
 
 def _entry_state(df: DataFrame, before: WindowSpec) -> DataFrame:
@@ -158,14 +165,14 @@ def _glued_records(numbered: DataFrame, dialect: CsvDialect) -> tuple[DataFrame,
     "inside a quoted field". Windows within a split, which is small, work out each line
     for both ways its split may be entered; one summary row per split then settles which
     it is. Lines that are whole records pass through; only the others are grouped.
-    Returns the records, and the files in which a quote is never closed.
+    Returns the records, and the files in which a quote is never closed: those that end inside a
+    quoted field. Their last record runs to the end of the file.
     """
     value = F.col("value")
     steps = numbered.withColumns({"_o": dialect.leaves_open(value), "_i": dialect.stays_open(value)}).select(
         *SPLIT,
         "line_no",
         "value",
-        (F.length("value") + 1).alias("chars"),
         F.when(F.col("_o") == F.col("_i"), F.col("_o").cast("int")).alias("reset"),
         (F.col("_o") & ~F.col("_i")).cast("int").alias("flips"),
     )
@@ -176,7 +183,6 @@ def _glued_records(numbered: DataFrame, dialect: CsvDialect) -> tuple[DataFrame,
         *SPLIT,
         "line_no",
         "value",
-        "chars",
         "in_0",
         "in_1",
         left(0).alias("out_0"),
@@ -205,23 +211,18 @@ def _glued_records(numbered: DataFrame, dialect: CsvDialect) -> tuple[DataFrame,
     states = _entry_state(step, before).withColumnRenamed("in_0", "entered")
     starts = F.when(F.col("entered") == 1, F.col("starts_1")).otherwise(F.col("starts_0"))
     offset = F.coalesce(F.sum(starts).over(before), F.lit(0))
-    states = settle(states.select(*SPLIT, "entered", offset.alias("offset")), "quote-states")
+    left_at_end = F.coalesce(F.col("reset"), F.pmod(F.col("entered") + F.col("flips"), F.lit(2)))
+    states = settle(states.select(*SPLIT, "entered", offset.alias("offset"), left_at_end.alias("left")), "quote-states")
+    last_split = states.df.groupBy("file_id").agg(F.max_by("left", "part").alias("left"))
 
     chosen = lambda name: F.when(F.col("entered") == 1, F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))
-    placed = join_small(lines, states.df, SPLIT, "inner", fits=states.fits).select(
+    placed = join_small(lines, states.df.drop("left"), SPLIT, "inner", fits=states.fits).select(
         *SPLIT,
         "line_no",
         "value",
-        "chars",
         (F.col("offset") + chosen("starts") - 1).alias("record_no"),
         ((chosen("in") == 0) & (chosen("out") == 0)).alias("whole"),
     )
-    # measured before anything is gathered; reads no text and combines map-side
-    sizes = placed.filter(~F.col("whole")).groupBy("file_id", "record_no").agg(F.sum("chars").alias("chars"))
-    runaway = sizes.filter(F.col("chars") > MAX_RECORD_CHARS).select("file_id").distinct()
-    runaway = settle(runaway, "runaway", files=F.count("*"))
-    if runaway.metrics["files"]:
-        placed = join_small(placed, runaway.df, ["file_id"], "left_anti", ["line_no"], runaway.fits)
     pieces = F.array_sort(F.collect_list(F.struct("line_no", "value")))
     several = (
         placed.filter(~F.col("whole"))
@@ -232,7 +233,7 @@ def _glued_records(numbered: DataFrame, dialect: CsvDialect) -> tuple[DataFrame,
     single = placed.filter("whole").select(*SPLIT, F.col("record_no").alias("line_no"), F.col("value").alias("record"))
     # the grouped records are read for the header and again for the cells
     records = single.unionByName(store(several, "records"))
-    return records, runaway.df
+    return records, last_split.filter(F.col("left") == 1).select("file_id")
 
 
 def scan_records(
@@ -244,21 +245,26 @@ def scan_records(
     ``threshold`` is the number of filled cells that makes a record the header; it
     may be a Column over ``file_id``.
     """
+    pin_splits(lines.sparkSession)
     lines = lines.withColumn("seq", F.monotonically_increasing_id())
     gluing = F.coalesce(F.max(F.col("opens") > 0), F.lit(False))
     stored = settle(_place_splits(_split_summary(lines, dialect, threshold)), "splits", gluing=gluing)
     splits, is_plain = stored.df, F.col("opens") == 0
-    records = number_lines(lines, splits.filter(is_plain), stored.fits).withColumnRenamed("value", "record")
+    numbered = number_lines(lines, splits, stored.fits)
+    # a line whose split is unknown must reach its number, which then fails: no filter may drop it before
+    plain_line = F.coalesce("opens", F.lit(0)) == 0
+    records = numbered.filter(plain_line).select(*SPLIT, "line_no", F.col("value").alias("record"))
     per_file = splits.groupBy("file_id").agg(
         F.first("file_lines").alias("line_count"),
         F.first("header.at").alias("header_line_no"),
         F.first("header.text").alias("header"),
+        F.max("undecodable").alias("undecodable"),
         F.first("opens").alias("opens"),
     )
-    files = per_file.filter(is_plain).drop("opens").withColumn("runaway", F.lit(False))
+    files = per_file.filter(is_plain).drop("opens").withColumn("unclosed", F.lit(False))
 
     if stored.metrics["gluing"]:
-        glued, runaway = _glued_records(number_lines(lines, splits.filter(~is_plain), stored.fits), dialect)
+        glued, unclosed = _glued_records(numbered.filter(~plain_line).drop("opens"), dialect)
         records = records.unionByName(glued)
         wide = filled(dialect.cells(F.col("record"))) >= threshold
         found = (
@@ -273,17 +279,13 @@ def scan_records(
             .filter(F.size("_hash") == 0)
             .drop("_hash")
         )
-        files = files.unionByName(found.withColumn("runaway", F.lit(False))).unionByName(
-            per_file.join(runaway, "file_id", "left_semi").select(
-                "file_id",
-                "line_count",
-                F.lit(None).cast("long").alias("header_line_no"),
-                F.lit(None).cast("string").alias("header"),
-                F.lit(True).alias("runaway"),
-            )
-        )
-    error = F.when(F.col("runaway"), F.lit("Quoted field is never closed.")).when(
-        F.col("header_line_no").isNull(), F.lit(NO_HEADER)
+        facts = per_file.select("file_id", "undecodable").join(unclosed.withColumn("open", F.lit(True)), "file_id", "left")
+        found = found.join(facts, "file_id").withColumn("unclosed", F.coalesce("open", F.lit(False))).drop("open")
+        files = files.unionByName(found)
+    error = (
+        F.when(F.col("header_line_no").isNull(), F.lit(NO_HEADER))
+        .when(F.col("unclosed"), F.lit(UNCLOSED))
+        .when(F.col("undecodable") > 0, F.lit(UNDECODABLE))
     )
     files = files.select(
         "file_id",
@@ -296,6 +298,13 @@ def scan_records(
     return RecordScan(records, files, splits.select(*SPLIT))
 
 
+def empty_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """file_id, file_name, error of the files without a byte, which no text scan reports. Reads the listing only."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+    empty = listing.filter("length = 0").select(F.col("path").alias("file_id"))
+    return empty.select("file_id", logical_file_name(F.col("file_id")).alias("file_name"), F.lit(EMPTY).alias("error"))
+
+
 def read_grid(spark: SparkSession, path: str | list[str], dialect: CsvDialect = CsvDialect()) -> DataFrame:
     """Files as a raw grid: file_id, file_name, part, line_no, n_tokens, cells.
 

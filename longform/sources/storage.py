@@ -8,6 +8,7 @@ anything is broadcast.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -24,13 +25,32 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name in the shared folder the session names."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="longform-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/longform-{label}-{uuid.uuid4().hex}"
 
 
+def pin_splits(spark: SparkSession) -> None:
+    """Keep the plan of file splits apart from the number of executors.
+
+    Spark aims at as many splits as the cluster has cores unless
+    ``spark.sql.files.minPartitionNum`` says how many; the number of the moment is written there
+    once, so that scans of the same files planned earlier and later cut them alike.
+    """
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
+        spark.conf.set("spark.sql.files.minPartitionNum", str(cores))
+
+
+def placed_in_split(seq: Column, start: Column, count: Column) -> Column:
+    """The place of a row within its split; fails where the scan was cut differently from the one that was summarised."""
+    at = seq - start
+    changed = F.raise_error(F.lit("The files are split differently than when they were numbered; keep spark.sql.files.* unchanged."))
+    return F.when(start.isNotNull() & (at >= 0) & (at < count), at).otherwise(changed.cast("long"))
+
+
 @dataclass(frozen=True)
 class Settled:
     """A stored table, whether it may be broadcast, and what was observed while it was written."""
@@ -70,7 +90,7 @@ def settle(df: DataFrame, label: str, **metrics: Column) -> Settled:
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Measure a side before it is broadcast. For small sides: this runs a job over it."""
-    rows, chars = df.limit(BROADCAST_ROWS + 1).agg(*_size(df)).first()
+    rows, chars = df.agg(*_size(df)).first()
     return rows <= BROADCAST_ROWS and chars <= BROADCAST_BYTES
 
 

@@ -5,7 +5,7 @@ The table format is a parameter: ``parquet`` everywhere, ``delta`` where it is i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def read_csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -20,7 +20,7 @@ def read_csv_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, header: bool = True, single_file: bool = False) -> None:
     """CSV files below ``path``. ``single_file`` sends all rows through one task."""
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", header).csv(path)
+    (df.repartition(1) if single_file else df).write.mode("overwrite").option("header", header).csv(path)
 
 
 def overwrite_table(
@@ -35,9 +35,27 @@ def overwrite_table(
     writer.saveAsTable(table)
 
 
-def append_table(df: DataFrame, table: str, format: str = "parquet") -> None:
-    """Append rows of the table's own schema."""
-    df.write.format(format).mode("append").saveAsTable(table)
+def append_table(df: DataFrame, table: str, format: str = "parquet", merge_schema: bool = False) -> None:
+    """Append rows to a table.
+
+    Rows must have the table's columns and types, in any order; anything else is refused. With
+    ``merge_schema`` new columns are added to the table first (null in its old rows),
+    and columns that the rows lack are null in them.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        df.write.format(format).saveAsTable(table)
+        return
+    have, bring = dict(spark.table(table).dtypes), dict(df.dtypes)
+    new = [c for c in bring if c not in have]
+    other = [c for c in bring if c in have and bring[c] != have[c]]
+    if other or (not merge_schema and bring.keys() != have.keys()):
+        raise ValueError(f"rows do not fit table {table}: {sorted(set(other) | (bring.keys() ^ have.keys()))}")
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{c}` {bring[c]}' for c in new)})")
+        have |= {c: bring[c] for c in new}
+    aligned = [F.col(f"`{c}`") if c in bring else F.lit(None).cast(t).alias(c) for c, t in have.items()]
+    df.select(*aligned).write.format(format).mode("append").saveAsTable(table)
 
 
 def append_path(df: DataFrame, path: str, format: str = "parquet") -> None:

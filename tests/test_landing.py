@@ -9,7 +9,6 @@ from brute import parse
 from longform.functions.dialect import CsvDialect
 from longform.operators.cells import BRONZE_SCHEMA, conform_bronze
 from longform.plans.bronze import land_long, land_wide
-from longform.sources import csv_lines
 from longform.sources.csv_lines import read_grid
 from longform.sources.reference_data import VENDOR_B_RENAMES
 
@@ -92,7 +91,7 @@ def test_odd_files_match_brute_force(spark, tmp_path):
     got = [r if r[4] is None or not r[4].endswith("\n") else (*r[:4], r[4].rstrip("\n") or None) for r in cells_of(landing)]
     assert sorted(got, key=str) == sorted(want, key=str)
     without = {n for n in os.listdir(tmp_path) if parse(tmp_path / n, 4) is None}
-    assert {r.file_name for r in landing.errors.collect()} == without
+    assert {r.file_name for r in landing.errors.collect() if r.error == "Could not find header row."} == without
 
 
 def test_split_files_match_whole_files(spark, tmp_path, small_splits):
@@ -103,13 +102,74 @@ def test_split_files_match_whole_files(spark, tmp_path, small_splits):
     assert cells_of(land_long(spark, str(tmp_path), threshold=4)) == expected(tmp_path, 4)
 
 
-def test_unclosed_quote_is_isolated(spark, tmp_path, small_splits, monkeypatch):
-    monkeypatch.setattr(csv_lines, "MAX_RECORD_CHARS", 1000)
+def test_unclosed_quote_loses_no_row(spark, tmp_path, small_splits):
     put(tmp_path, "good.csv", "a,b\n1,\"x\ny\"\n")
-    put(tmp_path, "bad.csv", 'a,b\n1,"' + "never closed\n" * 300)
+    put(tmp_path, "bad.csv", 'a,b\n1,2\n3,"' + "never closed\n" * 300)
     landing = land_long(spark, str(tmp_path), threshold=2)
     assert [(r.file_name, r.error) for r in landing.errors.collect()] == [("bad.csv", "Quoted field is never closed.")]
-    assert cells_of(landing) == [("good.csv", 1, 1, "a", "1"), ("good.csv", 1, 2, "b", "x\ny")]
+    got = cells_of(landing)
+    assert [r for r in got if r[0] == "good.csv"] == [("good.csv", 1, 1, "a", "1"), ("good.csv", 1, 2, "b", "x\ny")]
+    bad = [r for r in got if r[0] == "bad.csv"]
+    assert [r[4] for r in bad[:3]] == ["1", "2", "3"] and bad[3][4].rstrip("\n") == "\n".join(["never closed"] * 300)
+
+
+def test_long_record_lands_whole(spark, tmp_path, conf):
+    conf("spark.sql.files.maxPartitionBytes", "4m")
+    body = ("x" * 99_999 + "\n") * 200
+    put(tmp_path, "long.csv", f'a,b\n1,2\n3,"{body}"\n5,6\n')
+    landing = land_long(spark, str(tmp_path), threshold=2)
+    assert landing.errors.count() == 0
+    got = {(r.row_index, r.column_index): r.n for r in landing.cells.selectExpr("row_index", "column_index", "length(lab_provided_value) AS n").collect()}
+    assert got == {(1, 1): 1, (1, 2): 1, (2, 1): 1, (2, 2): len(body), (3, 1): 1, (3, 2): 1}
+
+
+def test_numbers_survive_another_parallelism(spark, tmp_path, conf):
+    """The cluster grows or shrinks between building a landing and running it."""
+    conf("spark.sql.files.minPartitionNum", "4")
+    spark.conf.unset("spark.sql.files.minPartitionNum")
+    conf("spark.sql.files.openCostInBytes", "1")
+    conf("spark.sql.leafNodeDefaultParallelism", "4")
+    text = "a,b,c\n" + "".join(f"{i},{i * 2},x\n" for i in range(30_000))
+    put(tmp_path, "vendor_a.csv", text)
+    landing = land_long(spark, str(tmp_path), threshold=3)
+    for cores in ("7", "2", "16"):
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", cores)
+        got = landing.cells.filter("column_index = 1").selectExpr("count(*)", "count_if(lab_provided_value = row_index - 1)").first()
+        assert tuple(got) == (30_000, 30_000)
+
+
+def test_another_split_size_fails_rather_than_lose_lines(spark, tmp_path, conf):
+    conf("spark.sql.files.openCostInBytes", "1")
+    conf("spark.sql.files.maxPartitionBytes", "40000")
+    put(tmp_path, "vendor_a.csv", "a,b,c\n" + "".join(f"{i},{i * 2},x\n" for i in range(30_000)))
+    landing = land_long(spark, str(tmp_path), threshold=3)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "17000")
+    with pytest.raises(Exception, match="split differently"):
+        landing.cells.write.format("noop").mode("overwrite").save()
+
+
+def test_every_file_appears_somewhere(spark, tmp_path):
+    put(tmp_path, "good.csv", "a,b\n1,2\n")
+    put(tmp_path, "none.csv", "")
+    put(tmp_path, "narrow.csv", "a\n1\n")
+    (tmp_path / "broken.csv").write_bytes(b"a,b\n\xff\xfe,2\n")
+    landing = land_long(spark, str(tmp_path), threshold=2)
+    assert {(r.file_name, r.error) for r in landing.errors.collect()} == {
+        ("none.csv", "File is empty."),
+        ("narrow.csv", "Could not find header row."),
+        ("broken.csv", "File is not valid in its encoding."),
+    }
+    assert {r[0] for r in cells_of(landing)} == {"good.csv", "broken.csv"}
+
+
+@pytest.mark.parametrize("encoding", ["cp1252", "latin-1", "utf-8-sig", "utf-8", "utf-16-le", "utf-16-be"])
+def test_encodings_and_line_ends(spark, tmp_path, encoding):
+    text = "næme,b\r\né,ÿ£\r\n\"x,y\",2\r\n" + ("€,œ\r\n" if encoding not in ("latin-1",) else "")
+    put(tmp_path, "x.csv", text, encoding)
+    name = {"utf-16-le": "utf-16le", "utf-16-be": "utf-16be"}.get(encoding, encoding)
+    got = cells_of(land_long(spark, str(tmp_path), dialect=CsvDialect(encoding=name), threshold=2))
+    want = [("næme", "é"), ("b", "ÿ£"), ("næme", "x,y"), ("b", "2")] + ([("næme", "€"), ("b", "œ")] if encoding != "latin-1" else [])
+    assert [r[3:] for r in got] == want
 
 
 def test_shuffled_join_gives_the_same(spark, tmp_path, small_splits, monkeypatch):
