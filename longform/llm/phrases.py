@@ -65,17 +65,44 @@ def phrases(data: bytes):
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def window_hashes(data: bytes, first: np.ndarray, last: np.ndarray):
-    """(run, start, hash) of every window that starts in one of some runs of starts."""
+def _stretches(data: bytes, first: np.ndarray, last: np.ndarray):
+    """The bytes that the windows of some runs of starts cover, run by run, in buffers of about PIECE bytes.
+
+    Yields (a, b, buffer's running sums, place in the buffer of the first start of each run from a to b).
+    """
     sizes = last - first + LENGTH
     cut = np.searchsorted(np.cumsum(sizes), np.arange(PIECE, int(sizes.sum()) + PIECE, PIECE))
     bounds = np.unique(np.concatenate([[0], cut, [len(first)]]).clip(0, len(first)))
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
         raw = np.frombuffer(b"".join(data[f : f + s] for f, s in zip(first[a:b], sizes[a:b], strict=True)), np.uint8)
-        total = prefix_sums(raw)
+        yield a, b, prefix_sums(raw), np.cumsum(sizes[a:b]) - sizes[a:b]
+
+
+def quarters(data: bytes, trigger: np.ndarray, first: np.ndarray, last: np.ndarray):
+    """Runs cut by how far their windows begin ahead of the trigger, each with a hash of what all its windows share.
+
+    Yields (run, first start, last start, hash). A quarter of REACH leaves all but REACH / 4 bytes of a window shared.
+    """
+    step = REACH // 4
+    for a, b, total, at in _stretches(data, first, last):
+        for low in range(0, REACH, step):
+            high = low + step - 1
+            begin = np.maximum(first[a:b], trigger[a:b] - high)
+            end = np.minimum(last[a:b], trigger[a:b] - low)
+            some = np.flatnonzero(begin <= end)
+            if not len(some):
+                continue
+            # shared by all windows that begin from high to low bytes ahead, whether or not this run has them all
+            start = at[some] + trigger[a:b][some] - first[a:b][some] - low
+            name = hash_between(total, start, start + LENGTH - step + 1, low + 1)
+            yield some + a, begin[some], end[some], name.view(np.int64)
+
+
+def window_hashes(data: bytes, first: np.ndarray, last: np.ndarray):
+    """(run, start, hash) of every window that starts in one of some runs of starts."""
+    for a, b, total, place in _stretches(data, first, last):
         n = last[a:b] - first[a:b] + 1
         run = np.repeat(np.arange(a, b), n)
         inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        at = np.repeat(np.cumsum(sizes[a:b]) - sizes[a:b], n) + inside
+        at = np.repeat(place, n) + inside
         yield run, np.repeat(first[a:b], n) + inside, hash_between(total, at, at + LENGTH).view(np.int64)
-

@@ -15,7 +15,8 @@ cross documents.
 3. Repeated entries. A phrase that occurs again is removed wherever it is not the first, without looking
    into it: repetitive text costs its dictionary, not its length.
 4. Corpus order. Only suffixes of different entries with the same shared bytes are brought
-   together: each window of their first occurrences, named by entry suffix and what follows it. For
+   together: first by quarters of a phrase, whose windows share 85 bytes, then each window of the first
+   occurrences that still have company, named by entry suffix and what follows it. For
    equality to ``LENGTH`` bytes the order inside the names does not matter, so ranks are 64-bit hashes
    within one shared string (64 more bits) rather than lexicographic ranks, and groups of
    equal suffixes are combined in tasks before they are shuffled: no suffix, however frequent,
@@ -94,11 +95,11 @@ def phrase_table(texts: DataFrame) -> DataFrame:
 
 
 def _unpacked(rows: DataFrame) -> DataFrame:
-    """version, first and last start of the phrases."""
+    """version, trigger, first and last start of the phrases."""
     at = F.shiftright("spot", 12).bitwiseAND(F.lit(2**32 - 1))
     first = at - F.shiftright("spot", 6).bitwiseAND(F.lit(63))
     last = first + F.col("spot").bitwiseAND(F.lit(63))
-    return rows.select("*", F.shiftright("spot", 44).alias("version"), first.alias("first"), last.alias("last"))
+    return rows.select("*", F.shiftright("spot", 44).alias("version"), at.alias("trigger"), first.alias("first"), last.alias("last"))
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -114,34 +115,51 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     whole = _unpacked(later).select("doc", "version", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop"))
 
     several = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    open_ = _unpacked(entries.drop("n").join(several, "key"))
-    runs = open_.groupBy("doc", "version").agg(F.collect_list(F.struct("first", "last", "key")).alias("runs"))
-    runs = settle(runs, "open-phrases")
-    held = join_small(texts.select("doc", "version", "text"), runs.df, ["doc", "version"], "inner", fits=runs.fits)
+    open_ = _unpacked(entries.drop("n").join(several, "key")).select("doc", "version", "first", "last", F.col("trigger").alias("tag"))
+    # twice the open phrases are read in their texts: by the quarter, where 85 of 100 bytes are shared, then by the window
+    parts = store(_in_texts(texts, open_, quarters=True), "quarters")
+    met = parts.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    left = parts.join(met, "name").select("doc", "version", "first", "last", F.col("name").alias("tag"))
+    each = store(_in_texts(texts, left, quarters=False), "suffixes").withColumnsRenamed({"first": "start", "tag": "shared"})
+    equal = each.groupBy("shared", "name").agg(F.min(F.struct("doc", "version", "start")).alias("one"), F.count("*").alias("n")).where("n > 1")
+    again = each.join(equal.select("shared", "name", "one"), ["shared", "name"]).where(F.struct("doc", "version", "start") > F.col("one"))
+    return whole.unionByName(again.select("doc", "version", "start", (F.col("start") + LENGTH).alias("stop")))
+
+
+def _in_texts(texts: DataFrame, runs: DataFrame, quarters: bool) -> DataFrame:
+    """Reads runs of starts (doc, version, first, last, tag) in their texts.
 
-    def suffixes(batches: Iterator) -> Iterator:
+    Gives their quarters (tag is the trigger; first, last and a name by what is shared), or their windows
+    (first is the start; tag is passed on).
+    """
+    by_text = runs.groupBy("doc", "version").agg(F.collect_list(F.struct("first", "last", "tag")).alias("runs"))
+    by_text = settle(by_text, "open-phrases")
+    held = join_small(texts.select("doc", "version", "text"), by_text.df, ["doc", "version"], "inner", fits=by_text.fits)
+
+    def read(batches: Iterator) -> Iterator:
         import numpy as np
         import pandas as pd
 
-        from longform.llm.phrases import window_hashes
+        from longform.llm import phrases
         from longform.llm.wordhash import utf8
 
         for batch in batches:
             for doc, version, text, found in zip(batch["doc"], batch["version"], batch["text"], batch["runs"], strict=True):
-                first, last, key = (np.array([r[c] for r in found], np.int64) for c in ("first", "last", "key"))
-                for run, start, name in window_hashes(utf8(text), first, last):
-                    yield pd.DataFrame({"key": key[run], "name": name, "doc": doc, "version": version, "start": start})
-
-    each = held.mapInPandas(suffixes, "key long, name long, doc long, version long, start long")
-    each = store(each, "suffixes")
-    equal = each.groupBy("key", "name").agg(F.min(F.struct("doc", "version", "start")).alias("one"), F.count("*").alias("n")).where("n > 1")
-    again = each.join(equal.select("key", "name", "one"), ["key", "name"]).where(F.struct("doc", "version", "start") > F.col("one"))
-    return whole.unionByName(again.select("doc", "version", "start", (F.col("start") + LENGTH).alias("stop")))
+                first, last, tag = (np.array([r[c] for r in found], np.int64) for c in ("first", "last", "tag"))
+                if quarters:
+                    for _, begin, end, name in phrases.quarters(utf8(text), tag, first, last):
+                        yield pd.DataFrame({"doc": doc, "version": version, "first": begin, "last": end, "name": name})
+                else:
+                    for run, start, name in phrases.window_hashes(utf8(text), first, last):
+                        yield pd.DataFrame({"doc": doc, "version": version, "first": start, "tag": tag[run], "name": name})
+
+    other = "last" if quarters else "tag"
+    return held.mapInPandas(read, f"doc long, version long, first long, {other} long, name long")
 
 
 def removed_spans(texts: DataFrame) -> DataFrame:
     """doc, version and ``spans``: the maximal removed stretches of each text that has any, in order."""
-    found = repeated_spans(texts).distinct()
+    found = repeated_spans(texts)
     up = Window.partitionBy("doc", "version").orderBy("start", "stop")
     before = F.max("stop").over(up.rowsBetween(Window.unboundedPreceding, -1))
     marked = found.withColumn("new", F.when(F.coalesce(before, F.lit(-1)) < F.col("start"), 1).otherwise(0))
