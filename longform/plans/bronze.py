@@ -19,7 +19,7 @@ from longform.functions.names import (
 )
 from longform.operators.cells import explode_cells
 from longform.operators.header import detect_header_argmax, named_columns, threshold_by_vendor
-from longform.sources.csv_lines import NO_HEADER, RecordScan, empty_files, scan_lines, scan_records
+from longform.sources.csv_lines import RecordScan, empty_files, scan_lines, scan_records
 from longform.sources.storage import settle
 
 
@@ -90,7 +90,8 @@ def land_long(spark: SparkSession, path: str | list[str], dialect: CsvDialect =
     timestamp for the whole run.
     """
     landing = land_lines(scan_lines(spark, path, dialect), dialect, **options)
-    return replace(landing, errors=landing.errors.unionByName(empty_files(spark, path)))
+    empty = empty_files(spark, path, landing.headers, landing.errors)
+    return replace(landing, errors=landing.errors.unionByName(empty))
 
 
 def wide_rows(rows: DataFrame, superset: Sequence[str]) -> DataFrame:

@@ -298,10 +298,17 @@ def scan_records(
     return RecordScan(records, files, splits.select(*SPLIT))
 
 
-def empty_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """file_id, file_name, error of the files without a byte, which no text scan reports. Reads the listing only."""
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
-    empty = listing.filter("length = 0").select(F.col("path").alias("file_id"))
+def empty_files(spark: SparkSession, path: str | list[str], headers: DataFrame, errors: DataFrame) -> DataFrame:
+    """file_id, file_name, error of the files without a byte, which Spark's scans pass over.
+
+    They are the files of the listing (which the driver holds for any scan) that no scan reports. No file is read.
+    """
+    listed = spark.read.option("recursiveFileLookup", True).text(path).inputFiles()
+    names = spark.createDataFrame([(p,) for p in listed], "file_id string")
+    names = names.select(F.regexp_replace("file_id", r"^([a-z0-9]+):///", "$1:/").alias("file_id"))
+    seen = headers.select("file_id").unionByName(errors.select("file_id")).distinct()
+    seen = seen.select(F.regexp_replace("file_id", r"^([a-z0-9]+):///", "$1:/").alias("file_id"))
+    empty = names.join(seen, "file_id", "left_anti")
     return empty.select("file_id", logical_file_name(F.col("file_id")).alias("file_name"), F.lit(EMPTY).alias("error"))
 
 
