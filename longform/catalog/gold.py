@@ -235,18 +235,18 @@ def attribute_presence(spark, sf_dir):
     f"""WITH {I.FILE_CELLS_SQL}
 SELECT vendor_id, file_name, count(*) AS cell_count, count(*) - count(lab_provided_value) AS null_cells,
        count(DISTINCT lab_provided_attribute) AS attribute_count, max(row_index) AS row_count,
-       left(sha256('run-1|' || file_name), 8) AS batch_id
+       sha256('run-1|' || file_name) AS batch_id
 FROM file_cells GROUP BY vendor_id, file_name""",
 )
 def ingestion_audit(spark, sf_dir):
-    audit = P.ingestion_audit(landing(spark, sf_dir).cells, "run-1")
+    audit = P.ingestion_audit(landing(spark, sf_dir).cells, "run-1", file_key="file_name")
     return audit.withColumn("null_cells", F.col("null_cells").cast("bigint"))
 
 
 @query(
     "ingestion_link",
     f"""WITH {I.LONG_SQL},
-pairs AS (SELECT DISTINCT left(sha256('run-1|' || file_name), 8) AS batch_id,
+pairs AS (SELECT DISTINCT sha256('run-1|' || file_name) AS batch_id,
                  sha256(vendor_id || '|' || CAST(row_index AS VARCHAR)) AS record_id FROM long)
 SELECT batch_id, record_id, sha256(batch_id || '|' || record_id) AS link_id FROM pairs""",
 )

@@ -5,9 +5,8 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from longform.functions.values import surrogate_key
 from longform.sources.storage import join_small, pin_splits, placed_in_split, settle
 
 
@@ -64,28 +63,40 @@ def with_file_row_number(df: DataFrame) -> DataFrame:
     return numbered.withColumn("file_row_number", number).drop("_file", "_part", "_seq", "_start", "_n", "_first")
 
 
-def ingestion_audit(cells: DataFrame, ingestion_id: str) -> DataFrame:
-    """One row per file of a run: cells, rows, attributes and nulls, keyed by batch."""
-    per_attribute = cells.groupBy("vendor_id", "file_name", "lab_provided_attribute").agg(
+def file_key_of(cells: DataFrame, file_key: str | None = None) -> str:
+    """The column that tells files apart: ``file_id`` where there is one, as names may repeat across folders and part files."""
+    return file_key or ("file_id" if "file_id" in cells.columns else "file_name")
+
+
+def _batch_id(ingestion_id: str, file_key: str) -> Column:
+    """The whole digest: eight digits would collide within a load of many files."""
+    return F.sha2(F.concat_ws("|", F.lit(ingestion_id), F.coalesce(F.col(file_key), F.lit(""))), 256)
+
+
+def ingestion_audit(cells: DataFrame, ingestion_id: str, file_key: str | None = None) -> DataFrame:
+    """One row per file of a run: cells, rows, attributes and nulls, keyed by batch. Files are told apart by ``file_key``."""
+    key = file_key_of(cells, file_key)
+    file = list(dict.fromkeys(["vendor_id", key, "file_name"]))
+    per_attribute = cells.groupBy(*file, "lab_provided_attribute").agg(
         F.count("*").alias("n"),
         F.count_if(F.col("lab_provided_value").isNull()).alias("nulls"),
         F.max("row_index").alias("last_row"),
     )
     return (
-        per_attribute.groupBy("vendor_id", "file_name")
+        per_attribute.groupBy(*file)
         .agg(
             F.sum("n").alias("cell_count"),
             F.sum("nulls").alias("null_cells"),
             F.count("*").alias("attribute_count"),
             F.max("last_row").alias("row_count"),
         )
-        .withColumn("batch_id", surrogate_key(F.lit(ingestion_id), "file_name"))
+        .withColumn("batch_id", _batch_id(ingestion_id, key))
     )
 
 
-def with_batch_id(cells: DataFrame, ingestion_id: str) -> DataFrame:
+def with_batch_id(cells: DataFrame, ingestion_id: str, file_key: str | None = None) -> DataFrame:
     """Cells keyed to their row of the audit table; the key is computed, not joined."""
-    return cells.withColumn("batch_id", surrogate_key(F.lit(ingestion_id), "file_name"))
+    return cells.withColumn("batch_id", _batch_id(ingestion_id, file_key_of(cells, file_key)))
 
 
 def ingestion_link(cells: DataFrame, record_key: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from longform.functions.values import surrogate_key
+from longform.operators.provenance import file_key_of
 
 
 @dataclass(frozen=True)
@@ -27,10 +28,11 @@ def star_schema(silver: DataFrame, sample_attributes: Sequence[str], category: s
     """Sample dimension, analyte dimension and measurement fact.
 
     Keys are hashes of what identifies a row (file and row index for a sample, the
-    canonical name for an analyte), so the fact needs no join to learn them.
+    canonical name for an analyte), so the fact needs no join to learn them. Files are told apart by
+    ``file_id`` where the cells have it: a name may repeat across folders and part files.
     ``sample_attributes`` are canonical names that describe the sample.
     """
-    sample = ["file_name", "row_index"]
+    sample = [file_key_of(silver), "row_index"]
     known = silver.filter(F.col("canonical_column_id").isNotNull())
     value = F.col("lab_provided_value")
     samples = (

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from longform.operators import provenance as P
@@ -112,3 +113,37 @@ def test_audit_joins_back(spark):
     assert rows == {"f": (3, 1, 2, 2), "g": (1, 0, 1, 1)}
     joined = P.with_batch_id(cells, "run").join(audit.select("batch_id", F.col("file_name").alias("g")), "batch_id")
     assert joined.count() == 4 and joined.filter("file_name <> g").isEmpty()
+
+
+def test_files_of_one_name_stay_apart(spark, tmp_path):
+    """Part files of a folder, and one name in two folders, are files of their own in the audit and the star."""
+    from longform.operators.silver import standardize
+    from longform.plans.bronze import land_long
+    from longform.plans.gold import star_schema
+
+    for i, place in enumerate(["one/vendor_a.csv/part-0.csv", "one/vendor_a.csv/part-1.csv", "two/vendor_a.csv"]):
+        path = tmp_path / place
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("sample_barcode,ph\n" + "".join(f"b{i}{k},{i}.{k}\n" for k in range(3)))
+    cells = land_long(spark, str(tmp_path), threshold=2).cells
+    mapping = spark.createDataFrame([("vendor_a", "sample_barcode", "s"), ("vendor_a", "ph", "p")], "vendor_id string, vendor_column_name string, canonical_column_id string")
+    canonical = spark.createDataFrame([("s", "barcode", "sample", "string"), ("p", "ph", "measurement", "numeric")], "canonical_column_id string, canonical_column_name string, column_category string, data_type string")
+    audit = P.ingestion_audit(cells, "run").collect()
+    assert len(audit) == 3 and len({r.batch_id for r in audit}) == 3 and {r.cell_count for r in audit} == {6}
+    star = star_schema(standardize(cells, mapping, canonical), ["barcode"])
+    joined = star.measurements.join(star.samples, "sample_key").select("barcode", "value").collect()
+    assert {(r.barcode, r.value) for r in joined} == {(f"b{i}{k}", float(f"{i}.{k}")) for i in range(3) for k in range(3)}
+
+
+def test_append_to_a_table(spark):
+    name = "longform_append_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    S.append_table(spark.createDataFrame([(1, "a")], "k bigint, v string"), name)
+    S.append_table(spark.createDataFrame([("b", 2)], "v string, k bigint"), name)
+    with pytest.raises(ValueError):
+        S.append_table(spark.createDataFrame([("x", "b")], "k string, v string"), name)
+    with pytest.raises(ValueError):
+        S.append_table(spark.createDataFrame([(3, "c", 1.0)], "k bigint, v string, w double"), name)
+    S.append_table(spark.createDataFrame([(3, 1.0)], "k bigint, w double"), name, merge_schema=True)
+    assert sorted(tuple(r) for r in spark.table(name).select("k", "v", "w").collect()) == [(1, "a", None), (2, "b", None), (3, None, 1.0)]
+    spark.sql(f"DROP TABLE {name}")
