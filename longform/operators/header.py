@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from longform.sources.csv_lines import NO_HEADER, empty_set, filled
-from longform.sources.storage import join_small
+from longform.sources.storage import join_small, settle
 
 
 def null_cells(grid: DataFrame) -> DataFrame:
@@ -68,9 +68,13 @@ def files_without_header(grid: DataFrame, header: DataFrame) -> DataFrame:
 
 
 def after_header(grid: DataFrame, header: DataFrame) -> DataFrame:
-    """Rows below the header, with ``row_index`` counted from 1 after it."""
+    """Rows below the header, with ``row_index`` counted from 1 after it.
+
+    The header is found once: it is stored, measured as it is written, and joined from there.
+    """
+    stored = settle(header, "headers")
     return (
-        join_small(grid, header, ["file_id"], "inner", ["line_no"])
+        join_small(grid, stored.df, ["file_id"], "inner", ["line_no"], stored.fits)
         .filter(F.col("line_no") > F.col("header_line_no"))
         .withColumn("row_index", F.col("line_no") - F.col("header_line_no"))
     )

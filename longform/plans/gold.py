@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from longform.functions.values import surrogate_key
 from longform.operators.provenance import file_key_of
+from longform.sources.storage import store
 
 
 @dataclass(frozen=True)
@@ -53,4 +54,5 @@ def star_schema(silver: DataFrame, sample_attributes: Sequence[str], category: s
         "vendor_id",
         value.try_cast("double").alias("value"),
     )
-    return Star(samples, analytes, measurements)
+    # one row per analyte; stored, so that measuring and joining it do not read silver again
+    return Star(samples, store(analytes, "analytes"), measurements)
