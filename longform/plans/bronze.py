@@ -19,7 +19,7 @@ from longform.functions.names import (
 )
 from longform.operators.cells import explode_cells
 from longform.operators.header import detect_header_argmax, named_columns, threshold_by_vendor
-from longform.sources.csv_lines import RecordScan, empty_files, scan_lines, scan_records
+from longform.sources.csv_lines import NO_HEADER, RecordScan, empty_files, scan_lines, scan_records
 from longform.sources.storage import settle
 
 
@@ -140,19 +140,48 @@ def land_wide(
     The header is the row with the most filled cells among the first ``peek``, which
     takes a scan of its own; with ``threshold`` it is the first row with that many,
     found in the scan that numbers the lines. A column that is empty throughout needs
-    no removal: it is null either way.
+    no removal: it is null either way. ``wide_errors`` tells which files are missing.
     """
-    scan = scan_records(scan_lines(spark, path, dialect), dialect, threshold or 1)
-    if threshold:
-        headers = header_table(scan, dialect, prefixes).drop("line_count", "header_cells")
-    else:
-        grid = scan.records.filter(F.col("line_no") < peek).withColumn("cells", dialect.cells(F.col("record")))
-        headers = (
-            detect_header_argmax(grid, peek)
-            .join(scan.files.select("file_id", "file_name"), "file_id")
-            .withColumn("vendor_id", vendor_of(F.col("file_name"), prefixes))
-            .withColumn("columns", named_columns(F.col("header_cells")))
-            .drop("header_cells")
-        )
+    scan, headers = _wide_headers(spark, path, dialect, peek, threshold, prefixes)
     placed = settle(wide_positions(headers, superset, renames), "wide-positions")
     return wide_rows(body_rows(scan, placed.df, dialect, placed.fits), superset)
+
+
+def wide_errors(
+    spark: SparkSession,
+    path: str | list[str],
+    dialect: CsvDialect = CsvDialect(),
+    peek: int = 10,
+    threshold: int | None = None,
+    prefixes: Mapping[str, str] = VENDOR_PREFIXES,
+) -> DataFrame:
+    """file_id, file_name, error of the files that ``land_wide`` with the same arguments cannot land, or not as they should be."""
+    scan, headers = _wide_headers(spark, path, dialect, peek, threshold, prefixes)
+    found = headers.select("file_id", F.lit(True).alias("found"))
+    files = scan.files.join(found, "file_id", "left")
+    error = F.when(F.col("found").isNull(), F.lit(NO_HEADER)).otherwise(F.col("error"))
+    errors = files.select("file_id", "file_name", error.alias("error")).filter(F.col("error").isNotNull())
+    return errors.unionByName(empty_files(spark, path, headers, errors))
+
+
+def _wide_headers(
+    spark: SparkSession,
+    path: str | list[str],
+    dialect: CsvDialect,
+    peek: int,
+    threshold: int | None,
+    prefixes: Mapping[str, str],
+) -> tuple[RecordScan, DataFrame]:
+    """The scan, and the header of each file that has one."""
+    scan = scan_records(scan_lines(spark, path, dialect), dialect, threshold or 1)
+    if threshold:
+        return scan, header_table(scan, dialect, prefixes).drop("line_count", "header_cells")
+    grid = scan.records.filter(F.col("line_no") < peek).withColumn("cells", dialect.cells(F.col("record")))
+    headers = (
+        detect_header_argmax(grid, peek)
+        .join(scan.files.select("file_id", "file_name"), "file_id")
+        .withColumn("vendor_id", vendor_of(F.col("file_name"), prefixes))
+        .withColumn("columns", named_columns(F.col("header_cells")))
+        .drop("header_cells")
+    )
+    return scan, headers

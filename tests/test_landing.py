@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from brute import parse
 from longform.functions.dialect import CsvDialect
 from longform.operators.cells import BRONZE_SCHEMA, conform_bronze
-from longform.plans.bronze import land_long, land_wide
+from longform.plans.bronze import land_long, land_wide, wide_errors
 from longform.sources.csv_lines import read_grid
 from longform.sources.reference_data import VENDOR_B_RENAMES
 
@@ -275,3 +275,13 @@ def test_nothing_but_an_empty_table_is_observed(spark):
 
     empty = settle(spark.range(5).filter("false"), "empty")
     assert empty.fits and empty.df.count() == 0
+
+
+def test_wide_files_that_do_not_land_are_told(spark, tmp_path):
+    put(tmp_path, "vendor_a_good.csv", "a,b,c\n1,2,3\n")
+    put(tmp_path, "vendor_a_blank.csv", "\n" * 12 + "a,b,c\n1,2,3\n")
+    put(tmp_path, "vendor_a_none.csv", "")
+    told = lambda **o: {(r.file_name, r.error) for r in wide_errors(spark, str(tmp_path), **o).collect()}
+    none = ("vendor_a_none.csv", "File is empty.")
+    assert told() == {("vendor_a_blank.csv", "Could not find header row."), none}
+    assert told(threshold=4) == {(f"vendor_a_{n}.csv", "Could not find header row.") for n in ("good", "blank")} | {none}
