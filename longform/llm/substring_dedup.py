@@ -136,6 +136,8 @@ def _in_texts(texts: DataFrame, runs: DataFrame, quarters: bool) -> DataFrame:
     by_text = settle(by_text, "open-phrases")
     held = join_small(texts.select("doc", "version", "text"), by_text.df, ["doc", "version"], "inner", fits=by_text.fits)
 
+    other = "last" if quarters else "tag"
+
     def read(batches: Iterator) -> Iterator:
         import numpy as np
         import pandas as pd
@@ -143,17 +145,26 @@ def _in_texts(texts: DataFrame, runs: DataFrame, quarters: bool) -> DataFrame:
         from longform.llm import phrases
         from longform.llm.wordhash import utf8
 
+        def frame(rows):
+            return pd.DataFrame(dict(zip(("doc", "version", "first", other, "name"), map(np.concatenate, zip(*rows, strict=True)), strict=True)))
+
         for batch in batches:
+            rows, held = [], 0
             for doc, version, text, found in zip(batch["doc"], batch["version"], batch["text"], batch["runs"], strict=True):
                 first, last, tag = (np.array([r[c] for r in found], np.int64) for c in ("first", "last", "tag"))
                 if quarters:
-                    for _, begin, end, name in phrases.quarters(utf8(text), tag, first, last):
-                        yield pd.DataFrame({"doc": doc, "version": version, "first": begin, "last": end, "name": name})
+                    each = ((begin, end, name) for _, begin, end, name in phrases.quarters(utf8(text), tag, first, last))
                 else:
-                    for run, start, name in phrases.window_hashes(utf8(text), first, last):
-                        yield pd.DataFrame({"doc": doc, "version": version, "first": start, "tag": tag[run], "name": name})
+                    each = ((start, tag[run], name) for run, start, name in phrases.window_hashes(utf8(text), first, last))
+                for begin, more, name in each:
+                    rows.append((np.full(len(begin), doc), np.full(len(begin), version), begin, more, name))
+                    held += len(begin)
+                if held > 200_000:
+                    yield frame(rows)
+                    rows, held = [], 0
+            if rows:
+                yield frame(rows)
 
-    other = "last" if quarters else "tag"
     return held.mapInPandas(read, f"doc long, version long, first long, {other} long, name long")
 
 
