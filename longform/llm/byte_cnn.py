@@ -38,6 +38,8 @@ BATCH_DOCS = 48
 RATE = 0.01
 DECAY = 1e-4
 SCORED_BYTES = 1 << 17
+#: Stands for filters that would reach into the next text; smaller than any sum of weights.
+LOWEST = np.float32(-1e9)
 
 
 def padded(text: bytes) -> bytes:
@@ -46,6 +48,11 @@ def padded(text: bytes) -> bytes:
     return text.ljust(size, b"\0")
 
 
+def _crossing(ends: np.ndarray) -> np.ndarray:
+    """Positions from which a filter reaches beyond the end of its text. They hold padding only."""
+    return (ends[:, None] - np.arange(1, WIDTH)).ravel()
+
+
 @dataclass
 class Network:
     """filters: place x byte x filter; the other arrays are the biases and the two dense layers."""
@@ -108,14 +115,15 @@ class Scorer:
             (net.filters[k][:, None, :] + net.filters[k + 1][None, :, :]).reshape(1 << 16, FILTERS) for k in range(0, WIDTH, 2)
         ]
 
-    def _maxima(self, data: bytes, start: int) -> np.ndarray:
-        """Maxima of the blocks from ``start`` on, SCORED_BYTES at most."""
+    def _maxima(self, data: bytes, start: int, ends: np.ndarray) -> np.ndarray:
+        """Maxima of the blocks from ``start`` on, SCORED_BYTES at most. ``ends``: where the texts end."""
         n = min(len(data) - start, SCORED_BYTES)
         x = np.frombuffer(data[start : start + n + WIDTH].ljust(n + WIDTH, b"\0"), np.uint8).astype(np.int32)
         pair = (x[:-1] << 8) | x[1:]
         out = self.pairs[0].take(pair[:n], 0)
         for k, table in enumerate(self.pairs[1:], 1):
             out += table.take(pair[2 * k : 2 * k + n], 0)
+        out[_crossing(ends[(ends > start) & (ends <= start + n)] - start)] = LOWEST
         return out.reshape(-1, BLOCK, FILTERS).max(1)
 
     def score(self, texts: list[bytes]) -> np.ndarray:
@@ -127,9 +135,9 @@ class Scorer:
             size += len(held[-1])
             if size >= SCORED_BYTES or i + 1 == len(texts):
                 data = b"".join(held)
-                # a text never crosses into its neighbour: its padding is as wide as a filter reaches
-                pooled = np.concatenate([self._maxima(data, a) for a in range(0, len(data), SCORED_BYTES)])
                 n = np.array([len(h) // BLOCK for h in held])
+                ends = np.cumsum(n) * BLOCK
+                pooled = np.concatenate([self._maxima(data, a, ends) for a in range(0, len(data), SCORED_BYTES)])
                 scores.append(probability(_head(self.net, pooled, n)[0]))
                 held, size = [], 0
         return np.concatenate([np.zeros(0), *scores])
@@ -151,6 +159,7 @@ def train_network(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, s
             conv = net.filters[0].take(x[:size], 0)
             for k in range(1, WIDTH):
                 conv += net.filters[k].take(x[k : k + size], 0)
+            conv[_crossing(np.cumsum(n) * BLOCK)] = LOWEST
             conv = conv.reshape(-1, BLOCK, FILTERS)
             best = conv.argmax(1)
             pooled = np.take_along_axis(conv, best[:, None], 1)[:, 0]
