@@ -4,25 +4,25 @@ Base spans are found by pattern: e-mail and IP addresses, card numbers (Luhn) an
 numbers. The patterns match what the plain ones (``EMAIL_PLAIN`` and so on) match; they only
 begin where a match can begin and never step back, so long runs of digits or letters cost one pass.
 
-Information-theoretic sanitisation adds terms. A protected entity is a base value that
-occurs in at least ``MIN_SUPPORT`` different texts. With n documents, an entity e carries
-``IC(e) = log2(n / n_e)`` bits, and a term t tells ``PMI(e, t) = log2(n_et * n / (n_e * n_t))`` of
-them. A term that occurs with e at least ``MIN_SUPPORT`` times and tells at least the share
-``DISCLOSURE`` of IC(e) is masked in the documents that hold e: whoever reads it there
-would know the entity although it is masked. All counts are over all documents, where
-texts that are the same count once (a copy is no further evidence).
-
-Entities with their terms are counted in tasks first and joined by key; only tables measured within the
-limit of ``join_small`` are broadcast. Null and empty texts have no spans. Rows that repeat a doc_id
-get the spans of their own base data, and terms disclosed by any text of that doc_id. Rows
-without a doc_id get base spans only. Empty tables give empty results.
+Information-theoretic sanitisation adds terms. Every base value is a protected entity, whatever its number
+of texts. With n documents, an entity e carries ``IC(e) = log2(n / n_e)`` bits, and a term t tells
+``PMI(e, t) = log2(n_et * n / (n_e * n_t))`` of them. A term that tells at least the share ``DISCLOSURE`` of
+IC(e) is masked if it occurs with e at least ``MIN_SUPPORT`` times or, below that, if its
+normalised PMI, ``PMI / log2(n / n_et)``, reaches the same share and less than ``CHANCE`` texts would hold both by
+chance (so in tables of a few texts, where every word is rare, lone occurrences say nothing). All counts are over all
+documents, where texts that are the same count once (a copy is no further evidence). Words inside base spans are no terms.
+
+Entities that occur in the same texts tell the same and are counted once. Tables are broadcast only if measured
+within the limit of ``join_small``; else words are joined by shuffling, and the few words of very many texts apart
+from the others. Null and empty texts have no spans. Terms belong to the text, so rows that repeat a doc_id, or
+have none, are masked like any other. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from longform.sources.storage import join_small, settle, store
+from longform.sources.storage import Settled, join_small, settle, store
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: What a base span of each kind is.
@@ -41,6 +41,9 @@ TERM = r"(?<![\p{L}\p{N}])\p{L}{4,}+(?!\p{N})"
 
 MIN_SUPPORT = 3
 DISCLOSURE = 0.9
+CHANCE = 0.05
+#: Words of more than one text in so many are joined apart from the others.
+COMMON = 1000
 SPAN = "struct<kind:int,start:int,stop:int,value:string>"
 
 
@@ -103,71 +106,100 @@ def entity_of(span: Column) -> Column:
     return F.concat(span["kind"].cast("string"), F.lit(":"), F.when(numeric, _digits(span["value"])).otherwise(F.lower(span["value"])))
 
 
+def _name(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def words_of(text: Column) -> Column:
+    """The different words of a text that can be terms."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))
+
+
+def _met(rows: DataFrame, table: Settled, common: Settled) -> DataFrame:
+    """``rows`` joined to ``table`` on ``term``; terms of very many texts never meet in one task."""
+    if table.fits:
+        return rows.join(F.broadcast(table.df), "term")
+    often = join_small(table.df, common.df, ["term"], "left_semi", fits=common.fits)
+    hot = join_small(rows, often, ["term"], "inner", fits=common.fits)
+    rest = join_small(rows, common.df, ["term"], "left_anti", fits=common.fits)
+    return hot.unionByName(rest.join(table.df, "term"))
+
+
 def disclosing_terms(found: DataFrame, docs: DataFrame, support: int = MIN_SUPPORT, share: float = DISCLOSURE) -> DataFrame | None:
-    """(doc_id, terms): the terms to mask in each document that holds a protected entity. None if nothing is protected.
+    """(name, terms): the terms to mask in each text, by its digest. None if there is no entity.
 
     ``found``: rows of ``with_base_spans`` that have spans, stored. ``docs``: all documents.
     """
-    held = found.select("doc_id", F.md5(F.col("text").cast("binary")).alias("name"), F.explode("base").alias("span"), "text")
-    held = held.select("doc_id", "name", entity_of(F.col("span")).alias("entity")).distinct()
-    entities = held.select("name", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support)
-    protected = settle(entities, "entities", n=F.count("*"))
+    held = found.select(_name(F.col("text")).alias("name"), F.explode("base").alias("span"))
+    held = held.select("name", entity_of(F.col("span")).alias("entity")).distinct()
+    # entities of the same texts tell the same: one of them stands for all
+    sums = [F.bit_xor(F.xxhash64("name", F.lit(k))).alias(f"h{k}") for k in range(2)]
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_e"), *sums)
+    entities = entities.groupBy("n_e", "h0", "h1").agg(F.min("entity").alias("entity"))
+    protected = settle(entities.select("entity", "n_e"), "entities", n=F.count("*"))
     if not protected.metrics["n"]:
         return None
-    pairs = store(join_small(held, protected.df, ["entity"], "inner", spread=["doc_id"], fits=protected.fits), "entity-documents")
-
-    words = lambda text: F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))
-    texts = found.where("size(base) > 0").select(F.md5(F.col("text").cast("binary")).alias("name"), words(F.col("text")).alias("terms"))
-    texts = texts.groupBy("name").agg(F.first("terms").alias("terms"))
-    evidence = pairs.select("name", "entity", "n_e").distinct().join(texts, "name")
-    together = evidence.select("entity", "n_e", F.explode("terms").alias("term")).groupBy("entity", "term")
-    together = together.agg(F.count("*").alias("n_et"), F.first("n_e").alias("n_e")).where(F.col("n_et") >= support)
-    together = settle(together, "co-occurrence", n=F.count("*"))
-    if not together.metrics["n"]:
-        return None
-
-    candidates = settle(together.df.select("term").distinct(), "terms")
-    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    every = every.withColumn("name", F.md5(F.col("text").cast("binary")))
-    copies = every.groupBy("name").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
-    sized = settle(copies, "texts", texts=F.count("*"))
-    again = settle(sized.df.where("n > 1").select("name", "first"), "copied")
-    # of a text that occurs several times only the row of the smallest doc_id counts
-    once = join_small(every, again.df, ["name"], "left", spread=["doc_id"], fits=again.fits).where("first IS NULL OR first = doc_id")
-    occurs = once.select("name", F.explode(words(F.col("text"))).alias("term"))
-    occurs = join_small(occurs, candidates.df, ["term"], "left_semi", spread=["name"], fits=candidates.fits)
-    n_t = occurs.groupBy("term").agg(F.count("*").alias("n_t"))
-
-    n = F.lit(float(sized.metrics["texts"]))
+    pairs = join_small(held, protected.df, ["entity"], "inner", spread=["name"], fits=protected.fits)
+
+    texts = found.groupBy(_name(F.col("text")).alias("name")).agg(F.first("text").alias("text"), F.first("base").alias("base"))
+    texts = texts.select("name", words_of(F.col("text")).alias("all"), words_of(without(F.col("text"), F.col("base"))).alias("terms"))
+    texts = store(texts, "words-beside")
+    together = pairs.join(texts.select("name", "terms"), "name").select("entity", "n_e", F.explode("terms").alias("term"))
+    together = store(together.groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_et")), "co-occurrence")
+
+    candidates = settle(together.select("term").distinct(), "terms")
+    every = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("name", _name(F.col("text")))
+    copies = settle(every.groupBy("name").agg(F.count("*").alias("n")), "texts", texts=F.count("*"))
+    again = settle(copies.df.where("n > 1").select("name"), "copied")
+    # a text that occurs several times counts once
+    single = join_small(every, again.df, ["name"], "left_anti", fits=again.fits)
+    several = join_small(every, again.df, ["name"], "left_semi", fits=again.fits).groupBy("name").agg(F.first("text").alias("text"))
+    once = single.select("name", "text").unionByName(several)
+    occurs = once.select("name", F.explode(words_of(F.col("text"))).alias("term"))
+    counted = occurs.join(F.broadcast(candidates.df), "term", "left_semi") if candidates.fits else occurs
+    # words that a text holds inside base spans only do not count
+    inside = texts.select(F.explode(F.array_except("all", "terms")).alias("term"))
+    counted = counted.select("term", F.lit(1).alias("n")).unionByName(inside.select("term", F.lit(-1).alias("n")))
+    n_t = settle(counted.groupBy("term").agg(F.sum("n").alias("n_t")).where("n_t > 0"), "term-counts")
+    size = float(copies.metrics["texts"])
+    common = settle(n_t.df.where(F.col("n_t") > size / COMMON).select("term"), "common-terms")
+
+    n = F.lit(size)
     ic = F.log2(n / F.col("n_e"))
     pmi = F.log2(F.col("n_et") * n / (F.col("n_e") * F.col("n_t")))
-    telling = together.df.join(n_t, "term").where((ic > 0) & (pmi >= F.lit(share) * ic)).select("entity", "term")
-    telling = settle(telling, "disclosing")
-    by_doc = join_small(pairs.select("doc_id", "entity"), telling.df, ["entity"], "inner", spread=["doc_id"], fits=telling.fits)
-    by_doc = by_doc.where("doc_id IS NOT NULL").select("doc_id", "term").distinct()
-    return by_doc.groupBy("doc_id").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+    steady = (pmi >= F.lit(share) * F.log2(n / F.col("n_et"))) & (F.col("n_e") * F.col("n_t") <= F.lit(CHANCE) * n)
+    telling = _met(together, n_t, common).where((ic > 0) & (pmi >= F.lit(share) * ic) & ((F.col("n_et") >= support) | steady))
+    telling = settle(telling.select("term").distinct(), "disclosing")
+    return _met(occurs, telling, common).groupBy("name").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+
+
+def without(text: Column, spans: Column) -> Column:
+    """The text with a blank for every span."""
+    return masked(text, spans, F.lit(" "))
 
 
 def term_spans(text: Column, terms: Column, base: Column) -> Column:
     """Places of the terms as whole words, outside base spans, in order."""
-    alone = lambda t: F.concat(F.lit(r"(?<![\p{L}\p{N}])"), t, F.lit(r"(?![\p{L}\p{N}])"))
-    found = F.flatten(F.transform(terms, lambda t: spans_of(text, alone(t), KINDS.index("term"))))
-    apart = F.filter(found, lambda s: ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
-    return F.sort_array(apart)
+    regex = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(terms, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    found = spans_of(text, regex, KINDS.index("term"))
+    return F.filter(found, lambda s: ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
+
+
+def _with_terms(rows: DataFrame, terms: DataFrame | None) -> DataFrame:
+    """Adds ``terms`` (spans) to rows with ``text`` and ``base``."""
+    none = F.array().cast(f"array<{SPAN}>")
+    if terms is None:
+        return rows.withColumn("terms", none)
+    telling = settle(terms, "text-terms")
+    marked = join_small(rows.withColumn("name", _name(F.col("text"))), telling.df, ["name"], "left", fits=telling.fits).drop("name")
+    return marked.withColumn("terms", F.when(F.col("terms").isNull() | (F.size("base") == 0), none).otherwise(term_spans(F.col("text"), F.col("terms"), F.col("base"))))
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
     """doc_id, text (empty for null), base and terms (arrays of spans) of every row."""
     found = with_base_spans(docs)
     holding = store(found.where(F.size("base") > 0), "personal-data")
-    terms = disclosing_terms(holding, docs)
-    none = F.array().cast(f"array<{SPAN}>")
-    if terms is None:
-        return found.withColumn("terms", none)
-    telling = settle(terms, "document-terms")
-    marked = join_small(found, telling.df, ["doc_id"], "left", fits=telling.fits)
-    spans = F.when(F.col("terms").isNull() | (F.size("base") == 0), none).otherwise(term_spans(F.col("text"), F.col("terms"), F.col("base")))
-    return marked.select("doc_id", "text", "base", spans.alias("terms"))
+    return _with_terms(found, disclosing_terms(holding, docs)).select("doc_id", "text", "base", "terms")
 
 
 def listed(spans: Column) -> Column:
@@ -176,8 +208,8 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind in angle brackets; spans that overlap become one, named by the first."""
+def masked(text: Column, spans: Column, instead: Column | None = None) -> Column:
+    """The text with every span replaced by its kind in angle brackets (or ``instead``); spans that overlap become one, named by the first."""
     names = F.array(*[F.lit(k) for k in KINDS])
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
     empty = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -185,7 +217,7 @@ def masked(text: Column, spans: Column) -> Column:
     def step(acc: Column, s: Column) -> Column:
         fresh = s["start"] >= acc["at"]
         between = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        added = F.concat(acc["out"], between, F.lit("<"), names[s["kind"]], F.lit(">"))
+        added = F.concat(acc["out"], between, F.concat(F.lit("<"), names[s["kind"]], F.lit(">")) if instead is None else instead)
         return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), F.when(fresh, added).otherwise(acc["out"]).alias("out"))
 
     return F.aggregate(ordered, empty, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
@@ -199,15 +231,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     row = F.struct(*[F.col(c) for c in docs.columns])
     carried = docs.select(row.alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     holding = store(with_base_spans(docs).where(F.size("base") > 0), "personal-data")
-    terms = disclosing_terms(holding, docs)
-    none = F.array().cast(f"array<{SPAN}>")
-    carried = carried.withColumn("base", base_spans(F.col("text")))
-    if terms is None:
-        carried = carried.withColumn("spans", F.col("base"))
-    else:
-        telling = settle(terms, "document-terms")
-        carried = join_small(carried, telling.df, ["doc_id"], "left", fits=telling.fits)
-        extra = F.when(F.col("terms").isNull() | (F.size("base") == 0), none).otherwise(term_spans(F.col("text"), F.col("terms"), F.col("base")))
-        carried = carried.withColumn("spans", F.concat("base", extra))
+    carried = _with_terms(carried.withColumn("base", base_spans(F.col("text"))), disclosing_terms(holding, docs))
+    carried = carried.withColumn("spans", F.concat("base", "terms"))
     clean = F.when(F.size("spans") > 0, masked(F.col("text"), F.col("spans"))).otherwise(F.col("_row.text"))
     return carried.select(*[clean.alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])

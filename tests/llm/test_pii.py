@@ -99,3 +99,16 @@ def test_awkward_and_empty(awkward, nothing):
     assert got[3] == got[4] == got[5] == got[7] == ("", "")
     assert got[9][0].startswith("email:0:6,phone:7:24")
     assert find_pii(nothing).count() == 0 and sanitise(nothing).count() == 0
+
+
+def term_words(got, text, i):
+    return {text[i][int(s.split(":")[1]) : int(s.split(":")[2])] for s in filter(None, got[i][1].split(","))}
+
+
+def test_entities_of_one_text_are_protected(documents):
+    rows = [(i, f"plain filler words {'common' if i % 2 else 'usual'}") for i in range(30)]
+    rows += [(30 + i, f"plain filler words number{'abcdefghijklmnopqrstuvwxyzabcdefgh'[i]}{'xyz'[i % 3]}") for i in range(34)]
+    rows += [(100, "plain words zanzibar common a.b@c.de")]
+    got, text = spans(documents(rows)), dict(rows)
+    assert term_words(got, text, 100) == {"zanzibar"}
+    assert all(not got[i][1] for i, _ in rows if i < 100)
