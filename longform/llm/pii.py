@@ -7,7 +7,7 @@ begin where a match can begin and never step back, so long runs of digits or let
 Information-theoretic sanitisation adds terms. Every base value is a protected entity, whatever its number
 of texts. With n documents, an entity e carries ``IC(e) = log2(n / n_e)`` bits, and a term t tells
 ``PMI(e, t) = log2(n_et * n / (n_e * n_t))`` of them. A term that tells at least the share ``DISCLOSURE`` of
-IC(e) is masked if it occurs with e at least ``MIN_SUPPORT`` times or, below that, if its
+IC(e) is masked in every document, with or without e, if it occurs with e at least ``MIN_SUPPORT`` times or, below that, if its
 normalised PMI, ``PMI / log2(n / n_et)``, reaches the same share and less than ``CHANCE`` texts would hold both by
 chance (so in tables of a few texts, where every word is rare, lone occurrences say nothing). All counts are over all
 documents, where texts that are the same count once (a copy is no further evidence). Words inside base spans are no terms.
@@ -37,7 +37,9 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 # a maximal chain of digits with single separators, of 13 to 19 digits: shorter and longer chains fail anyway
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])"
 PHONE = PHONE_PLAIN
-TERM = r"(?<![\p{L}\p{N}])\p{L}{4,}+(?!\p{N})"
+#: A term is a run of letters and digits of any length, or two Han characters side by side, as Han text has no blanks between words.
+TERM = r"[\p{L}\p{N}]++"
+HAN_PAIR = r"(?=(\p{IsHan}{2}))"
 
 MIN_SUPPORT = 3
 DISCLOSURE = 0.9
@@ -112,7 +114,9 @@ def _name(text: Column) -> Column:
 
 def words_of(text: Column) -> Column:
     """The different words of a text that can be terms."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))
+    words = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    pairs = F.when(text.rlike(r"\p{IsHan}"), F.regexp_extract_all(text, F.lit(HAN_PAIR), F.lit(1))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(words, pairs))
 
 
 def _met(rows: DataFrame, table: Settled, common: Settled) -> DataFrame:
@@ -179,8 +183,12 @@ def without(text: Column, spans: Column) -> Column:
 
 
 def term_spans(text: Column, terms: Column, base: Column) -> Column:
-    """Places of the terms as whole words, outside base spans, in order."""
-    regex = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(terms, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    """Places of the terms as whole words or pairs, outside base spans, in order. Pairs that overlap are one span."""
+    pair = lambda t: t.rlike(r"^\p{IsHan}{2}$")
+    words, pairs = F.filter(terms, lambda t: ~pair(t)), F.filter(terms, pair)
+    whole = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(words, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    within = F.concat(F.lit("(?:(?="), F.array_join(pairs, "|"), F.lit(r")\p{IsHan})++\p{IsHan}"))
+    regex = F.concat_ws("|", F.when(F.size(words) > 0, whole), F.when(F.size(pairs) > 0, within))
     found = spans_of(text, regex, KINDS.index("term"))
     return F.filter(found, lambda s: ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
 
@@ -192,7 +200,7 @@ def _with_terms(rows: DataFrame, terms: DataFrame | None) -> DataFrame:
         return rows.withColumn("terms", none)
     telling = settle(terms, "text-terms")
     marked = join_small(rows.withColumn("name", _name(F.col("text"))), telling.df, ["name"], "left", fits=telling.fits).drop("name")
-    return marked.withColumn("terms", F.when(F.col("terms").isNull() | (F.size("base") == 0), none).otherwise(term_spans(F.col("text"), F.col("terms"), F.col("base"))))
+    return marked.withColumn("terms", F.when(F.col("terms").isNull(), none).otherwise(term_spans(F.col("text"), F.col("terms"), F.col("base"))))
 
 
 def find_pii(docs: DataFrame) -> DataFrame:

@@ -112,3 +112,16 @@ def test_entities_of_one_text_are_protected(documents):
     got, text = spans(documents(rows)), dict(rows)
     assert term_words(got, text, 100) == {"zanzibar"}
     assert all(not got[i][1] for i, _ in rows if i < 100)
+
+
+def test_terms_of_any_length_in_all_documents(documents):
+    rows = [(i, f"plain filler words {'abcdefghijklmnopqrstuvwxyz'[i % 26]} 我们今天去 on of {i}") for i in range(400)]
+    rows += [(100 + i, f"call +1 (555) 123-4567 or Ann on project AB12, 我们和王伟说 of {i}") for i in range(4)]
+    rows += [(200, "plain words of Ann on AB12 and 今天王伟去"), (None, "words of Ann"), (201, "plain words of Annabel")]
+    docs, text = documents(rows), dict(rows)
+    got = spans(docs)
+    assert {"Ann", "AB12"} <= term_words(got, text, 100) and "of" not in term_words(got, text, 100)
+    assert got[200][0] == "" and {"Ann", "AB12", "王伟"} <= term_words(got, text, 200) and "plain" not in term_words(got, text, 200)
+    assert term_words(got, text, None) == {"Ann"} and got[201] == ("", "")
+    clean = {r.doc_id: r.text for r in sanitise(docs).collect()}
+    assert "Ann" not in clean[200] and "王伟" not in clean[200] and clean[None] == "words of <term>" and clean[201] == text[201]
