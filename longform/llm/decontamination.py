@@ -5,12 +5,13 @@ and names (capitalised words inside a sentence) become typed placeholders, all e
 lower case without punctuation. Windows of ``WINDOW`` template words of the benchmark and of
 every text meet in a hash join, so a question that only differs in its numbers, units or
 names still matches. A match is then read again: along one alignment of a document and an
-item, each value of a slot in the item must stand for one value in the document. Alignments with
-contradictory slots are chance or another question; consistent ones are verbatim (no slot
-differs) or re-parameterised.
+item, each value of a slot in the item must stand for one value in the document. An alignment with
+contradictory slots is split: a stretch of windows counts by itself if its own slots agree, and the whole counts
+if it holds at least ``MIN_LITERAL`` literal words for each contradiction. What counts is verbatim (no slot differs) or
+re-parameterised; the rest is chance or another question.
 
 A document is contaminated by an item if ``MIN_RUN`` windows of one alignment match (all
-windows of an item that has fewer), slots agreeing. Windows with fewer than ``MIN_LITERAL``
+windows of an item that has fewer) and count as above. Windows with fewer than ``MIN_LITERAL``
 words that are no placeholders say too little and are left out of the benchmark's table; an
 item that has none but these is compared by its windows all the same.
 
@@ -22,7 +23,7 @@ window of its own length. Repeated rows give repeated results; empty tables give
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from longform.sources.storage import join_small, settle, store
 
@@ -118,19 +119,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.transform("template", lambda w, k: F.struct(w.alias("kind"), (F.col("at") + k).alias("place"), F.col("item_words")[k].alias("item"), F.col("words")[F.col("spot") + k].alias("doc"))),
         lambda s: s["kind"].isin(NAME, NUMBER, UNIT),
     )
-    aligned = store(read.select("name", "item_id", (F.col("spot") - F.col("at")).alias("shift"), "at", "n_windows", slots.alias("slots")), "matches")
+    aligned = store(read.select("name", "item_id", (F.col("spot") - F.col("at")).alias("shift"), "at", "size", "n_windows", slots.alias("slots")), "matches")
     key = ["name", "item_id", "shift"]
-    runs = aligned.groupBy(*key).agg(F.count_distinct("at").alias("n"), F.max("n_windows").alias("n_item_windows"))
+    runs = aligned.groupBy(*key).agg(
+        F.sort_array(F.collect_set("at")).alias("ats"), F.max("n_windows").alias("n_item_windows"), F.max("size").alias("size")
+    )
     values = aligned.select(*key, F.explode("slots").alias("s")).select(*key, "s.place", "s.kind", "s.item", "s.doc").distinct()
-    values = values.groupBy(*key, "kind", "item").agg(
-        F.count_distinct("doc").alias("forms"), F.count_distinct("place").alias("n"), F.sum(F.when(F.col("item") != F.col("doc"), 1).otherwise(0)).alias("changed")
+    # the nearest place before that has the same value in the item and another one in the document
+    along = Window.partitionBy(*key, "kind", "item").orderBy("place")
+    values = values.withColumn("turn", F.when(F.lag("doc").over(along) != F.col("doc"), F.lag("place").over(along)))
+    values = values.withColumn("against", F.last("turn", ignorenulls=True).over(along))
+    values = values.groupBy(*key).agg(
+        F.collect_set(F.struct("place", (F.col("item") != F.col("doc")).alias("changed"))).alias("slots"),
+        F.collect_set(F.when(F.col("against").isNotNull(), F.struct("place", "against"))).alias("apart"),
+        F.count("turn").alias("turns"),
     )
-    values = values.groupBy(*key).agg(F.max("forms").alias("forms"), F.sum("n").alias("n_slots"), F.sum("changed").alias("n_changed"))
-    judged = runs.join(values, key, "left").where(F.coalesce("forms", F.lit(1)) <= 1)
-    judged = judged.where(F.col("n") >= F.least(F.lit(MIN_RUN), F.col("n_item_windows")))
+    no_slots, no_turns = F.array().cast("array<struct<place:int,changed:boolean>>"), F.array().cast("array<struct<place:int,against:int>>")
+    judged = runs.join(values, key, "left").withColumn("slots", F.coalesce("slots", no_slots)).withColumn("apart", F.coalesce("apart", no_turns))
+    end = lambda t: t + F.col("size") - 1
+    # for each window the longest stretch that ends with it and has no contradiction
+    low = lambda t: F.coalesce(F.array_max(F.filter("apart", lambda c: c["place"] <= end(t))["against"]) + 1, F.lit(0))
+    stretch = lambda t, least: F.filter("ats", lambda a: (a >= least) & (a <= t))
+    covered = F.size(F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, end(a))))))
+    whole = F.coalesce("turns", F.lit(0)) * MIN_LITERAL <= covered - F.size("slots")
+    stretches = F.when(whole, F.array("ats")).otherwise(F.transform("ats", lambda t: stretch(t, low(t))))
+    judged = judged.withColumn("run", F.array_max(F.transform(stretches, lambda r: F.struct(F.size(r).alias("n"), r.alias("ats")))))
+    inside = lambda s: (s["place"] >= F.col("run.ats")[0]) & (s["place"] <= end(F.element_at("run.ats", -1)))
+    judged = judged.where(F.col("run.n") >= F.least(F.lit(MIN_RUN), F.col("n_item_windows"))).select(
+        "name", "item_id", F.col("run.n").cast("long").alias("n"), "n_item_windows",
+        F.size(F.filter("slots", inside)).alias("n_slots"), F.size(F.filter("slots", lambda s: inside(s) & s["changed"])).alias("n_changed"),
+    )
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     best = judged.groupBy("name", "item_id").agg(
-        F.max(F.struct("n", "n_item_windows", (-zero("n_changed")).alias("same"), zero("n_slots").alias("n_slots"))).alias("b")
+        F.max(F.struct("n", "n_item_windows", (-zero(F.col("n_changed"))).alias("same"), zero(F.col("n_slots")).alias("n_slots"))).alias("b")
     )
     return best.select(
         "name",

@@ -46,3 +46,19 @@ def test_empty(spark, nothing, awkward):
     assert contaminated_documents(nothing, spark.createDataFrame([(1, ITEM)], ITEMS)).count() == 0
     assert contaminated_documents(awkward, none).count() == 0
     assert decontaminate(awkward, none).count() == awkward.count()
+
+
+def test_one_contradiction_does_not_discard_an_alignment(spark, documents):
+    words = [f"word{c}" for c in "abcdefghijklmnopqrstuvwxyz"]
+    item = " ".join(["start", "10", *words[:20], "10", *words[20:], "end"])
+    fruit = "a farmer puts 2 apples and 2 pears into each of the baskets that stand on the long table today"
+    mixed = "take 3 red and 3 green and 3 blue and 3 white and 3 black stones home with you"
+    tail = " and then sort all of them by size before the others come back again"
+    rows = [
+        (1, item.replace("wordt 10", "wordt 11")),
+        (2, fruit.replace("2 apples", "3 apples").replace("2 pears", "5 pears")),
+        (3, "take 8 red and 9 green and 7 blue and 6 white and 5 black stones home with you"),
+        (4, "take 8 red and 9 green and 7 blue and 6 white and 5 black stones home with you" + tail),
+    ]
+    got = found(spark, documents, rows, [(1, item), (2, fruit), (3, mixed), (4, mixed + tail)])
+    assert {(i, j) for i, j, _ in got if i == j} == {(1, 1), (2, 2), (4, 4)}
