@@ -266,6 +266,12 @@ def test_wide_landing_by_threshold(spark, tmp_path):
 
 def test_folder_without_lines(spark, tmp_path):
     put(tmp_path, "vendor_a none.csv", "")
+    landing = land_long(spark, str(tmp_path), threshold=2)
+    assert landing.cells.isEmpty() and landing.headers.isEmpty()
+    assert [(r.file_name, r.error) for r in landing.errors.collect()] == [("vendor_a none.csv", "File is empty.")]
+
+
+def test_folder_without_files(spark, tmp_path):
     landing = land_long(spark, str(tmp_path), threshold=2)
     assert landing.cells.isEmpty() and landing.headers.isEmpty() and landing.errors.isEmpty()
 
