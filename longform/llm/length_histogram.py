@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from longform.llm.shipping import ship
 from longform.llm.word_tokens import encoder
+from longform.llm.workers import enter
 
 BAND = 1024
 
@@ -31,6 +32,7 @@ def token_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
     def lengths(batches: Iterator) -> Iterator:
         import pandas as pd
 
+        enter("word_tokens", encoder(tokenizer).forget)
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": encoder(tokenizer).count(batch["text"].tolist())})
 

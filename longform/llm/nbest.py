@@ -34,6 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from longform.llm.shipping import ship
+from longform.llm.workers import enter
 from longform.llm.wordhash import BASE, U, mix
 
 BLANK = "▁"
@@ -41,7 +42,7 @@ SLOTS = 1 << 18
 #: Parts remembered by a task, and characters of a part that still goes through the arrays.
 REMEMBERED = 300_000
 ARRAY_CHARS = 48
-PARTS_AT_ONCE = 4096
+PARTS_AT_ONCE = 1024
 LOW = -1e30
 
 
@@ -312,6 +313,7 @@ def segmentations(docs: DataFrame, model_file: str, n: int = 4, with_ids: bool =
         import pandas as pd
 
         model = lattice(model_file)
+        enter("nbest", model._forget)
         for batch in batches:
             names, texts = batch["doc_id"].tolist(), batch["text"].tolist()
             for part in _slices(texts):

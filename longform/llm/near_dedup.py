@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from longform.llm.components import components
 from longform.llm.shipping import ship
+from longform.llm.workers import enter
 from longform.sources.storage import join_small, settle, store
 
 HASHES = 128
@@ -73,6 +74,7 @@ def signature_table(docs: DataFrame) -> DataFrame:
 
         from longform.llm.shingles import digest, shingle_sets, signatures
 
+        enter("near_dedup")
         for batch in batches:
             sets = shingle_sets(batch["text"].tolist())
             full = [i for i, s in enumerate(sets) if len(s)]
@@ -128,6 +130,7 @@ def shingle_table(nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
         from longform.llm.shingles import shingle_sets
 
+        enter("near_dedup")
         for batch in batches:
             each = [s.astype("<u8").tobytes() for s in shingle_sets(batch["text"].tolist())]
             yield pd.DataFrame({"node": batch["doc_id"].astype(np.int64), "shingles": each})

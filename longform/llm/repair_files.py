@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from longform.llm.shipping import ship
 from longform.llm.word_tokens import encoder
+from longform.llm.workers import enter
 
 MAGIC = b"RPG1"
 NO_ID = -(2**63)
@@ -188,6 +189,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         import numpy as np
         import pandas as pd
 
+        enter("word_tokens", encoder(tokenizer).forget)
         shard, end = TaskContext.get().partitionId(), np.asarray([end_id], np.uint32)
         seq, names, parts, ends, held = 0, [], [], [], 0
 

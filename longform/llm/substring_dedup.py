@@ -36,6 +36,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window, functions as F
 
 from longform.llm.shipping import ship
+from longform.llm.workers import enter
 from longform.sources.storage import join_small, settle, store
 
 LAST = 2**63 - 1
@@ -78,6 +79,7 @@ def phrase_table(texts: DataFrame) -> DataFrame:
         from longform.llm.phrases import phrases
         from longform.llm.wordhash import utf8
 
+        enter("substring_dedup")
         for batch in batches:
             held, size = [], 0
             for doc, version, text in zip(batch["doc"], batch["version"], batch["text"], strict=True):

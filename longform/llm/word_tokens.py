@@ -96,6 +96,10 @@ class WordEncoder:
     def encode_each(self, texts: list) -> list[np.ndarray]:
         return [x for ids, n in self.encode(texts) for x in np.split(ids, np.cumsum(n)[:-1])]
 
+    def forget(self) -> None:
+        """Drop the words known so far."""
+        self._table.clear()
+
     def count(self, texts: list) -> np.ndarray:
         return np.concatenate([np.zeros(0, np.int64), *[n for _, n in self.encode(texts)]])
 

@@ -100,9 +100,9 @@ class WordTable:
 
     def __init__(self, learn, dtype, most: int):
         self._learn, self._dtype, self._most = learn, dtype, most
-        self._reset()
+        self.clear()
 
-    def _reset(self) -> None:
+    def clear(self) -> None:
         self._hashes, self._at, self._size, self._values = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self._dtype)
 
     def _missing(self, words: Words):
@@ -115,7 +115,7 @@ class WordTable:
     def _add(self, words: Words) -> None:
         seen, where = self._missing(words)
         if len(self._hashes) + len(seen) > self._most and len(self._hashes):
-            self._reset()
+            self.clear()
             seen, where = self._missing(words)
         if not len(seen):
             return
