@@ -6,13 +6,13 @@ Overlapping chunks of two neighbouring blocks are max-pooled, so the chunks cove
 document, however long; the mean and the maximum of the pooled filters over all chunks go
 through a small dense layer to one probability that the quality label is 1.
 
-``train`` learns from at most ``SAMPLE`` labelled documents of each class (the smallest
-hashes of their ids) and, of a longer one, ``TRAINING_BLOCKS`` evenly spaced blocks; both are
+``train`` learns from whole texts of at most ``SAMPLE`` labelled documents of each class (the smallest
+hashes of their ids), as far as they have ``SAMPLE_BYTES`` bytes together; both are
 bounds on what the driver holds. Weights of the classes restore their true shares.
 Scoring reads every byte of every document, one Arrow batch after another.
 
 Null and empty texts are one block of zeros and get a score as well. Labels that are null or
-neither 0 nor 1 are not learned from. Without any label, or with one class alone, every score
+neither 0 nor 1 are not learned from. Of several texts under one doc_id the smallest is learned from. Without any label, or with one class alone, every score
 is the same (0.5, or that class). Repeated rows get equal scores.
 """
 
@@ -22,9 +22,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from longform.llm.shipping import ship
+from longform.llm.workers import enter
 from longform.llm.wordhash import utf8
 
 BLOCK = 128
@@ -32,7 +33,7 @@ WIDTH = 8
 FILTERS = 24
 HIDDEN = 16
 SAMPLE = 1500
-TRAINING_BLOCKS = 64
+SAMPLE_BYTES = 32_000_000
 EPOCHS = 10
 BATCH_DOCS = 48
 RATE = 0.01
@@ -143,6 +144,21 @@ class Scorer:
         return np.concatenate([np.zeros(0), *scores])
 
 
+def _strongest(net: Network, x: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each filter's maximum in each block, and its place there; so many bytes at a time."""
+    pooled, best = [], []
+    for a in range(0, len(x) - WIDTH, SCORED_BYTES):
+        size = min(SCORED_BYTES, len(x) - WIDTH - a)
+        conv = net.filters[0].take(x[a : a + size], 0)
+        for k in range(1, WIDTH):
+            conv += net.filters[k].take(x[a + k : a + k + size], 0)
+        conv[_crossing(ends[(ends > a) & (ends <= a + size)] - a)] = LOWEST
+        conv = conv.reshape(-1, BLOCK, FILTERS)
+        best.append(conv.argmax(1))
+        pooled.append(np.take_along_axis(conv, best[-1][:, None], 1)[:, 0])
+    return np.concatenate(pooled), np.concatenate(best)
+
+
 def train_network(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, seed: int = 7, epochs: int = EPOCHS) -> Network:
     """Weighted logistic loss by Adam. ``texts`` are padded to whole blocks."""
     net, rng = Network.fresh(seed), np.random.default_rng(seed + 1)
@@ -155,14 +171,7 @@ def train_network(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, s
             chosen = order[at : at + BATCH_DOCS]
             n = np.array([len(texts[i]) // BLOCK for i in chosen])
             x = np.frombuffer(b"".join([texts[i] for i in chosen]) + bytes(WIDTH), np.uint8)
-            size = len(x) - WIDTH
-            conv = net.filters[0].take(x[:size], 0)
-            for k in range(1, WIDTH):
-                conv += net.filters[k].take(x[k : k + size], 0)
-            conv[_crossing(np.cumsum(n) * BLOCK)] = LOWEST
-            conv = conv.reshape(-1, BLOCK, FILTERS)
-            best = conv.argmax(1)
-            pooled = np.take_along_axis(conv, best[:, None], 1)[:, 0]
+            pooled, best = _strongest(net, x, np.cumsum(n) * BLOCK)
             logit, (first, second, start, later, raw, act, count, most, features, hidden) = _head(net, pooled, n)
 
             g = ((probability(logit) - labels[chosen]) * weights[chosen] / len(chosen)).astype(np.float32)
@@ -211,22 +220,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int
     chosen = [known.where(F.col("quality") == q).orderBy(ordered, "doc_id").limit(sample) for q in (0, 1)]
     wanted = chosen[0].unionByName(chosen[1])
 
-    def blocks(batches: Iterator) -> Iterator:
-        for batch in batches:
-            each = []
-            for text in batch["text"]:
-                data = padded(utf8(text))
-                n = len(data) // BLOCK
-                if n > TRAINING_BLOCKS:
-                    at = np.unique(np.linspace(0, n - 1, TRAINING_BLOCKS).astype(int))
-                    data = b"".join(data[i * BLOCK : (i + 1) * BLOCK] for i in at)
-                each.append(data)
-            yield batch.assign(text=each)
-
-    # at most 2 * sample rows
+    # at most 2 * sample rows and SAMPLE_BYTES, but for one text a class
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(wanted), "doc_id")
-    rows = texts.mapInPandas(blocks, "doc_id long, text binary, quality int").collect()
-    rows = sorted((r["doc_id"], r["quality"], bytes(r["text"])) for r in rows)
+    texts = texts.groupBy("doc_id", "quality").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    before = Window.partitionBy("quality").orderBy(ordered, "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    held = F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0))
+    bounded = texts.withColumn("held", held).withColumn("all", held + F.octet_length("text"))
+    rows = bounded.where(f"held = 0 OR all <= {SAMPLE_BYTES // 2}").select("doc_id", "quality", "text").collect()
+    rows = sorted((r["doc_id"], r["quality"], padded(utf8(r["text"]))) for r in rows)
     if not rows:
         net.constant = 0.5
         return net
@@ -246,6 +247,7 @@ def score(docs: DataFrame, net: Network) -> DataFrame:
     def scored(batches: Iterator) -> Iterator:
         import pandas as pd
 
+        enter("byte_cnn")
         scorer = Scorer(shared.value)
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": scorer.score([utf8(t) for t in batch["text"]])})
@@ -261,6 +263,7 @@ def keep_good(docs: DataFrame, net: Network, least: float = 0.3) -> DataFrame:
     def scores(texts):
         import pandas as pd
 
+        enter("byte_cnn")
         scorer = Scorer(shared.value)
         for batch in texts:
             yield pd.Series(scorer.score([utf8(t) for t in batch]))
