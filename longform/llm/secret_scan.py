@@ -29,7 +29,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from longform.llm.shipping import ship
-from longform.sources.storage import store
+from longform.llm.workers import enter
+from longform.sources.storage import scratch_path, store
 
 SHORTEST = 16
 WORD_SHARE = 1e-4
@@ -122,6 +123,7 @@ def findings(docs: DataFrame, pairs: list[float], words: list[str], path: str |
     def find(batches: Iterator) -> Iterator:
         import pandas as pd
 
+        enter("secret_scan")
         pair, word = shared.value
         for batch in batches:
             rows = []
@@ -154,7 +156,11 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> RandomForestClassificati
     if len(classes) < 2:
         return float(classes[0]) if classes else 0.0
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=7, featuresCol="vector", labelCol="label")
-    return forest.fit(bounded.select(array_to_vector("features").alias("vector"), "label"))
+    fitted = forest.fit(bounded.select(array_to_vector("features").alias("vector"), "label"))
+    # a fitted model holds its training summary, and with it the session; a loaded one can be sent to tasks
+    path = scratch_path(labelled.sparkSession, "forest")
+    fitted.save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def scan(found: DataFrame, model: RandomForestClassificationModel | float, least: float = 0.5) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from compare import connect, duck_result, spark_result
 from longform.llm import byte_cnn, quality_rules, secret_scan
 from longform.llm.queries import ORACLE, QUERIES
+from longform.sources.storage import settle
 
 SF = "/root/testdata/sf0.001"
 
@@ -73,6 +74,7 @@ def test_secret_scan(documents, awkward, nothing):
     rows = [(i, f'some filler words here token = "{hexes()}" and more words') for i in range(0, 120, 2)]
     rows += [(i, f"some filler words here order {rng.randint(10**15, 10**16)} sha1 {hexes()} and more") for i in range(1, 120, 2)]
     docs = documents(rows)
+    settle(docs, "observed")  # an observation of the session must not reach the forest's tasks
     pairs, words = secret_scan.letter_pairs(docs), secret_scan.dictionary(docs)
     assert len(pairs) == 28 * 28 and "filler" in words
     found = secret_scan.weak_labels(secret_scan.findings(docs, pairs, words))
