@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from longform.catalog.registry import table
-from longform.llm import byte_cnn, decontamination, length_histogram, near_dedup, nbest, pii, quality_rules as rules, repair_files, secret_scan, substring_dedup
+from longform.llm import byte_cnn, decontamination, length_histogram, near_dedup, nbest, pii, quality_rules as rules, repair_files, secret_scan, simhash, substring_dedup
 from longform.llm.registry import ORACLE, QUERIES, query
 from longform.sources.storage import scratch_path, store
 
@@ -119,3 +119,8 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = byte_cnn.held_out(F.col("doc_id"))
     scored = secret_scan.scan(found, secret_scan.train(found.where(~held_out)))
     return scored.select("doc_id", "start", "stop", held_out.alias("held_out"), F.col("label").cast("int").alias("label"), "score", "secret")
+
+
+@query("op11_simhash")
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
