@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from longform.catalog.registry import table
-from longform.llm import byte_cnn, conversation_repair, decontamination, length_histogram, near_dedup, nbest, pii, quality_rules as rules, repair_files, secret_scan, simhash, substring_dedup
+from longform.llm import byte_cnn, conversation_repair, decontamination, length_histogram, near_dedup, nbest, pii, quality_rules as rules, repair_files, secret_scan, simhash, spelling_variants, substring_dedup
 from longform.llm.registry import ORACLE, QUERIES, query
 from longform.sources.storage import scratch_path, store
 
@@ -130,3 +130,8 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return conversation_repair.repair_report(conversations, conversation_repair.damage(conversations))
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variant_groups(spelling_variants.vocabulary(table(spark, sf_dir, "documents"), dent=True))
