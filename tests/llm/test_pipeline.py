@@ -39,7 +39,7 @@ def test_stages_on_awkward_rows(spark, awkward, nothing):
 
 def test_registered():
     names = sorted(QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(names) | {"pipeline"} <= set(entry.queries())
 
 
