@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from longform.catalog import ingest, standard, wide, gold  # noqa: F401  (importing registers)
+from longform.catalog import ingest, standard, wide, gold, changes  # noqa: F401  (importing registers)
 from longform.catalog.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES", "flagship"]

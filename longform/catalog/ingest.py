@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -118,11 +119,12 @@ def append_merge_schema(spark, sf_dir):
 
 @query("append_long", f"WITH {I.LONG_SQL} SELECT * FROM long")
 def append_long(spark, sf_dir):
-    path = scratch_path(spark, "long")
+    """To a named table, in two appends that must have its schema."""
+    name = f"longform_append_{uuid.uuid4().hex}"
     cells = I.long_cells(spark, sf_dir)
     for vendor in ("vendor_a", "vendor_b"):
-        S.append_path(cells.filter(F.col("vendor_id") == vendor), path)
-    return spark.read.schema(cells.schema).parquet(path)
+        S.append_table(cells.filter(F.col("vendor_id") == vendor), name)
+    return spark.table(name)
 
 
 @query(
