@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from longform.functions.values import numeric_value, to_day, to_number
-from longform.sources.storage import fits_broadcast, join_small
+from longform.sources.storage import deal_hot, fits_broadcast, join_small
 
 CANONICAL_COLUMNS = ["canonical_column_id", "canonical_column_name", "column_category", "data_type"]
 
@@ -45,26 +45,41 @@ def standardize(cells: DataFrame, mapping: DataFrame, canonical: DataFrame) -> D
     return joined.select(*cells.columns, *CANONICAL_COLUMNS)
 
 
-STANDARDIZE_SQL = """
-SELECT cells.*,
+RESOLVE_SQL = """
+SELECT mapping.vendor_id,
+       mapping.vendor_column_name AS lab_provided_attribute,
        canonical.canonical_column_id,
        canonical.canonical_column_name,
        canonical.column_category,
        canonical.data_type
-FROM {cells} AS cells
-LEFT JOIN {mapping} AS mapping
-  ON cells.lab_provided_attribute = mapping.vendor_column_name
- AND cells.vendor_id = mapping.vendor_id
+FROM {mapping} AS mapping
 LEFT JOIN {canonical} AS canonical
   ON mapping.canonical_column_id = canonical.canonical_column_id
 """
 
+STANDARDIZE_SQL = """
+SELECT cells.* EXCEPT (_salt),
+       known.canonical_column_id,
+       known.canonical_column_name,
+       known.column_category,
+       known.data_type
+FROM {cells} AS cells
+LEFT JOIN {known} AS known
+  ON cells.lab_provided_attribute = known.lab_provided_attribute
+ AND cells.vendor_id = known.vendor_id
+ AND cells._salt = known._salt
+"""
+
 
 def standardize_sql(spark: SparkSession, cells: DataFrame, mapping: DataFrame, canonical: DataFrame) -> DataFrame:
-    """``standardize`` as SQL text. Small sides are broadcast after a check of their size."""
-    if fits_broadcast(mapping) and fits_broadcast(canonical):
-        mapping, canonical = F.broadcast(mapping), F.broadcast(canonical)
-    return spark.sql(STANDARDIZE_SQL, cells=cells, mapping=mapping, canonical=canonical)
+    """``standardize`` as SQL text. The mapping with its canonical columns is broadcast after a check of its size; beyond it hot keys are dealt."""
+    known = spark.sql(RESOLVE_SQL, mapping=mapping, canonical=canonical)
+    keys = ["lab_provided_attribute", "vendor_id"]
+    if fits_broadcast(known):
+        cells, known = cells.withColumn("_salt", F.lit(0)), F.broadcast(known.withColumn("_salt", F.lit(0)))
+    else:
+        cells, known = deal_hot(cells, known, keys, _spread(cells))
+    return spark.sql(STANDARDIZE_SQL, cells=cells, known=known)
 
 
 def standardize_by_attribute(cells: DataFrame, mapping: DataFrame, canonical: DataFrame) -> DataFrame:

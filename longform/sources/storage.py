@@ -8,6 +8,7 @@ anything is broadcast.
 
 from __future__ import annotations
 
+import json
 import re
 import tempfile
 import uuid
@@ -19,6 +20,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 BROADCAST_BYTES = 256 * 1024 * 1024
 BROADCAST_ROWS = 2_000_000
 MAX_SALTS = 256
+#: Keys that a sketch of a large side may name as hot, and those it tracks to find them.
+HOT_KEYS = 256
+TRACKED_KEYS = 8192
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -94,6 +98,33 @@ def fits_broadcast(df: DataFrame) -> bool:
     return rows <= BROADCAST_ROWS and chars <= BROADCAST_BYTES
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], tasks: int) -> dict[int, int]:
+    """Hashes of the keys that hold more than a task's share of the rows, and over how many tasks to deal each.
+
+    One pass counts with a sketch of frequent items, which combines map-side and holds ``TRACKED_KEYS`` keys: any
+    key with more than a few thousandths of the rows is in it. Nulls count as a key.
+    """
+    top = F.expr(f"approx_top_k(_key, {HOT_KEYS}, {TRACKED_KEYS})")
+    seen = df.select(F.xxhash64(*keys).alias("_key")).agg(F.count("*").alias("n"), top.alias("top")).first()
+    share = max(1, seen["n"] // max(1, tasks))
+    return {t["item"]: min(MAX_SALTS, -(-t["count"] // share)) for t in seen["top"] or () if t["count"] > share}
+
+
+def deal_hot(big: DataFrame, small: DataFrame, keys: Sequence[str], spread: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join with a column ``_salt`` to join on beside the keys.
+
+    Rows of a hot key of ``big`` get a salt from the ``spread`` columns, and the rows of ``small`` that have this key are repeated once
+    for each of its salts. All others have salt 0 and are there once.
+    """
+    hot = hot_keys(big, keys, int(big.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if not hot:
+        return big.withColumn("_salt", F.lit(0)), small.withColumn("_salt", F.lit(0))
+    table = F.from_json(F.lit(json.dumps({str(k): n for k, n in hot.items()})), "map<string, int>")
+    salts = F.coalesce(F.try_element_at(table, F.xxhash64(*keys).cast("string")), F.lit(1))
+    dealt = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), salts).cast("int"))
+    return dealt, small.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+
+
 def join_small(
     big: DataFrame,
     small: DataFrame,
@@ -105,10 +136,9 @@ def join_small(
     """Join ``big`` to a side that is usually small, on the columns both name ``keys``.
 
     The small side is broadcast if it measures within the limit; ``fits`` passes on a
-    measurement already made (of the side or of a table it is part of). Otherwise the big
-    side is salted by the ``spread`` columns and the small side repeated once per
-    salt, so that one hot key is shared by many tasks (adaptive execution splits what is
-    still uneven). ``how`` is ``left``,
+    measurement already made (of the side or of a table it is part of). Otherwise hot keys of the big
+    side are salted by the ``spread`` columns and their rows of the small side repeated once per
+    salt (``deal_hot``), so that one hot key is shared by many tasks. ``how`` is ``left``,
     ``inner``, ``left_semi`` or ``left_anti``; all are unaffected by the repetition.
     """
     keys = list(keys)
@@ -116,7 +146,5 @@ def join_small(
         return big.join(F.broadcast(small), keys, how)
     if not spread:
         return big.join(small, keys, how)
-    salts = min(MAX_SALTS, int(big.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    dealt, repeated = deal_hot(big, small, keys, spread)
+    return dealt.join(repeated, [*keys, "_salt"], how).drop("_salt")
