@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from longform.catalog import inputs as I
 from longform.catalog.registry import query, table
 from longform.operators import silver as Z
 from longform.operators.cells import unpivot_columns
+from longform.operators.similar_names import near_names
 from longform.plans.mapping_changes import SilverTable, save_version
 from longform.sources import reference_data as R, tables as S
 from longform.sources.checksums import BASES, PRIME, file_checksums as checksums_of
+from longform.sources.schema_log import GrowingTable
 from longform.sources.storage import scratch_path
 
 # -- mapping versions ------------------------------------------------------------
@@ -136,3 +140,42 @@ def domain_mapping(spark, sf_dir):
     return silver.groupBy("vendor_id", "lab_provided_attribute", "canonical_column_name", "data_type").agg(
         F.count("*").alias("record_count"), F.sum(F.col("numeric_value").cast("long")).alias("total")
     )
+
+
+# -- widening, and names alike -------------------------------------------------------
+
+
+@query(
+    "append_widened",
+    """SELECT CAST(c_custkey AS BIGINT) AS key, CAST(c_nationkey AS DOUBLE) AS score, CAST(c_nationkey AS VARCHAR) AS nation,
+       CAST(NULL AS BIGINT) AS cents, NULL AS label FROM customer
+UNION ALL SELECT s_suppkey + 10000000000, s_nationkey / 4, 'n' || s_nationkey, CAST(round(s_acctbal * 100) AS BIGINT), s_name FROM supplier""",
+)
+def append_widened(spark, sf_dir):
+    """Suppliers bring wider types, a new field of a struct and a new column; customers' files stay and are read through casts."""
+    grown = GrowingTable(spark, scratch_path(spark, "growing"))
+    grown.append(I.customers(spark, sf_dir).selectExpr("CAST(c_custkey AS INT) key", "CAST(c_nationkey AS INT) score", "struct(CAST(c_nationkey AS INT) AS nation) info"))
+    grown.append(
+        I.suppliers(spark, sf_dir).selectExpr(
+            "s_suppkey + 10000000000 AS key", "CAST(s_nationkey AS DOUBLE) / 4 AS score", "struct(concat('n', s_nationkey) AS nation, s_acctbal_cents AS cents) AS info", "s_name AS label"
+        )
+    )
+    name = f"longform_grown_{uuid.uuid4().hex}"
+    grown.register(name)
+    return spark.sql(f"SELECT key, score, info.nation, info.cents, label FROM {name}")
+
+
+@query(
+    "similar_names",
+    """WITH names AS (SELECT DISTINCT lower(split_part(p_name, ' ', 1)) AS name FROM part
+  UNION SELECT DISTINCT lower(split_part(p_type, ' ', 1)) FROM part UNION SELECT lower(n_name) FROM nation UNION SELECT lower(r_name) FROM region)
+SELECT a.name, b.name AS other, levenshtein(a.name, b.name)::INT AS distance FROM names a, names b
+WHERE a.name <> b.name AND levenshtein(a.name, b.name) <= 2""",
+)
+def similar_names(spark, sf_dir):
+    """Different names of parts, types, nations and regions at most two edits apart."""
+    part = table(spark, sf_dir, "part")
+    first = lambda c: F.lower(F.split_part(F.col(c), F.lit(" "), F.lit(1))).alias("name")
+    names = part.select(first("p_name")).union(part.select(first("p_type")))
+    names = names.union(table(spark, sf_dir, "nation").select(F.lower("n_name"))).union(table(spark, sf_dir, "region").select(F.lower("r_name")))
+    return near_names(names, names).where("name <> other")
