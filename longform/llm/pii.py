@@ -6,10 +6,11 @@ begin where a match can begin and never step back, so long runs of digits or let
 
 Information-theoretic sanitisation adds terms. Every base value is a protected entity, whatever its number
 of texts. With n documents, an entity e carries ``IC(e) = log2(n / n_e)`` bits, and a term t tells
-``PMI(e, t) = log2(n_et * n / (n_e * n_t))`` of them. A term that tells at least the share ``DISCLOSURE`` of
-IC(e) is masked in every document, with or without e, if it occurs with e at least ``MIN_SUPPORT`` times or, below that, if its
-normalised PMI, ``PMI / log2(n / n_et)``, reaches the same share and less than ``CHANCE`` texts would hold both by
-chance (so in tables of a few texts, where every word is rare, lone occurrences say nothing). All counts are over all
+``PMI(e, t) = log2(p(e | t) * n / n_e)`` of them. What n_et of n_t texts say of p(e | t) depends on how many they are, so
+the lower end of its confidence interval (Wilson's, ``CONFIDENCE`` standard errors) is taken for it: three texts of three say less
+than thirty of thirty. A term is masked in every document, with or without e, if by that bound it tells at least the share
+``DISCLOSURE`` of IC(e), and if of all the words beside e fewer than ``CHANCE`` would be expected to share as many texts with
+it by accident. A word that shares a single text with e shows no co-occurrence and stays. All counts are over all
 documents, where texts that are the same count once (a copy is no further evidence). Words inside base spans are no terms.
 
 Entities that occur in the same texts tell the same and are counted once. Tables are broadcast only if measured
@@ -41,8 +42,8 @@ PHONE = PHONE_PLAIN
 TERM = r"[\p{L}\p{N}]++"
 HAN_PAIR = r"(?=(\p{IsHan}{2}))"
 
-MIN_SUPPORT = 3
-DISCLOSURE = 0.9
+DISCLOSURE = 0.8
+CONFIDENCE = 1.2816
 CHANCE = 0.05
 #: Words of more than one text in so many are joined apart from the others.
 COMMON = 1000
@@ -129,7 +130,20 @@ def _met(rows: DataFrame, table: Settled, common: Settled) -> DataFrame:
     return hot.unionByName(rest.join(table.df, "term"))
 
 
-def disclosing_terms(found: DataFrame, docs: DataFrame, support: int = MIN_SUPPORT, share: float = DISCLOSURE) -> DataFrame | None:
+def lower_bound(hits: Column, n: Column, z: float = CONFIDENCE) -> Column:
+    """Lower end of Wilson's interval for a share of which ``hits`` of ``n`` were seen."""
+    p = hits / n
+    return (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def expected_by_chance(n_et: Column, n_t: Column, p_e: Column, words: Column) -> Column:
+    """log2 of (at least) how many of ``words`` words of n_t texts would share n_et texts with an entity of the share p_e of all."""
+    q = n_et / n_t
+    entropy = F.when(n_et < n_t, -q * F.log2(q) - (1 - q) * F.log2(1 - q)).otherwise(0.0)
+    return F.log2(words) + n_t * entropy + n_et * F.log2(p_e)
+
+
+def disclosing_terms(found: DataFrame, docs: DataFrame, share: float = DISCLOSURE) -> DataFrame | None:
     """(name, terms): the terms to mask in each text, by its digest. None if there is no entity.
 
     ``found``: rows of ``with_base_spans`` that have spans, stored. ``docs``: all documents.
@@ -151,6 +165,9 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, support: int = MIN_SUPPO
     together = pairs.join(texts.select("name", "terms"), "name").select("entity", "n_e", F.explode("terms").alias("term"))
     together = store(together.groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_et")), "co-occurrence")
 
+    beside = settle(together.groupBy("entity").agg(F.count("*").alias("words")), "words-of-entities")
+    # what meets an entity in one text alone cannot tell of it
+    together = join_small(together.where("n_et > 1"), beside.df, ["entity"], "inner", spread=["term"], fits=beside.fits)
     candidates = settle(together.select("term").distinct(), "terms")
     every = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("name", _name(F.col("text")))
     copies = settle(every.groupBy("name").agg(F.count("*").alias("n")), "texts", texts=F.count("*"))
@@ -170,9 +187,9 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, support: int = MIN_SUPPO
 
     n = F.lit(size)
     ic = F.log2(n / F.col("n_e"))
-    pmi = F.log2(F.col("n_et") * n / (F.col("n_e") * F.col("n_t")))
-    steady = (pmi >= F.lit(share) * F.log2(n / F.col("n_et"))) & (F.col("n_e") * F.col("n_t") <= F.lit(CHANCE) * n)
-    telling = _met(together, n_t, common).where((ic > 0) & (pmi >= F.lit(share) * ic) & ((F.col("n_et") >= support) | steady))
+    pmi = F.log2(lower_bound(F.col("n_et"), F.col("n_t")) * n / F.col("n_e"))
+    chance = expected_by_chance(F.col("n_et"), F.col("n_t"), F.col("n_e") / n, F.col("words"))
+    telling = _met(together, n_t, common).where((ic > 0) & (pmi >= F.lit(share) * ic) & (chance <= F.log2(F.lit(CHANCE))))
     telling = settle(telling.select("term").distinct(), "disclosing")
     return _met(occurs, telling, common).groupBy("name").agg(F.sort_array(F.collect_set("term")).alias("terms"))
 

@@ -64,18 +64,59 @@ def test_disclosing_terms(documents):
     assert all(got[i] == ("", "") for i in range(40))
 
 
-def test_pmi_matches_brute_force(documents):
-    from math import log2
+def tells(n_et, n_t, n_e, n, words):
+    """The rule, by hand: a lower bound of p(e | t), and how many words would do as well by chance."""
+    from math import log2, sqrt
+
+    if n_et < 2 or n_e == n:
+        return False
+    p, z = n_et / n_t, pii.CONFIDENCE
+    low = (p + z * z / 2 / n_t - z * sqrt(p * (1 - p) / n_t + z * z / 4 / n_t**2)) / (1 + z * z / n_t)
+    ways = 0 if p == 1 else -n_t * (p * log2(p) + (1 - p) * log2(1 - p))
+    return log2(low * n / n_e) >= pii.DISCLOSURE * log2(n / n_e) and log2(words) + ways + n_et * log2(n_e / n) <= log2(pii.CHANCE)
+
+
+def test_many_entities_match_brute_force(documents):
+    """Entities of one to forty texts, terms that go with them more or less often: every branch of the rule."""
+    rng = random.Random(12)
+    names = [f"user{i}@mail.example" for i in range(12)]
+    common = [f"w{c}" for c in "abcdefghijklmnopqrstuvwxyz"]
+    rows = []
+    for i in range(500):
+        held = [k for k in range(12) if rng.random() < (k + 1) / 130]
+        words = rng.choices(common, k=8) + [f"once{i}x"] + ([f"twin{i // 2}x"] if i % 5 == 0 else [])
+        for k in held:
+            words += [names[k]] + [f"term{k}x{j}" for j in range(4) if rng.random() < (1, 0.9, 0.6, 0.3)[j]]
+        words += [f"term{rng.randrange(12)}x{rng.randrange(4)}"] * (rng.random() < 0.1)
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+    texts = {t for _, t in rows}
+    has = {t: (set(t.split()) - set(names), {w for w in names if w in t.split()}) for t in texts}
+    n, want = len(texts), set()
+    for e in names:
+        with_e = [t for t in texts if e in has[t][1]]
+        beside = set().union(*[has[t][0] for t in with_e]) if with_e else set()
+        for w in beside:
+            n_et, n_t = sum(w in has[t][0] for t in with_e), sum(w in has[t][0] for t in texts)
+            if tells(n_et, n_t, len(with_e), n, len(beside)):
+                want.add(w)
+    got, text = spans(documents(rows)), dict(rows)
+    found = {i: term_words(got, text, i) for i, _ in rows}
+    assert found == {i: want & has[t][0] for i, t in rows}
+    assert 5 < len(want) < 48 and not any(w.startswith(("once", "twin")) for w in want)
 
+
+def test_pmi_matches_brute_force(documents):
     rows = corpus()
     texts = {t for _, t in rows}
     words = {t: set(re.findall(r"(?<![^\W_])[^\W\d_]{4,}(?![0-9])", t)) for t in texts}
     holding = {t for t in texts if "+1 (555) 123-4567" in t}
     n, n_e = len(texts), len(holding)
+    beside = set().union(*[set(re.findall(r"\w+", t.replace("+1 (555) 123-4567", " "))) for t in holding])
     want = set()
     for w in set().union(*words.values()):
         n_et, n_t = sum(w in words[t] for t in holding), sum(w in words[t] for t in texts)
-        if n_et >= pii.MIN_SUPPORT and log2(n_et * n / (n_e * n_t)) >= pii.DISCLOSURE * log2(n / n_e):
+        if n_et and tells(n_et, n_t, n_e, n, len(beside)):
             want.add(w)
     got = spans(documents(rows))
     seen = set()
@@ -105,12 +146,15 @@ def term_words(got, text, i):
     return {text[i][int(s.split(":")[1]) : int(s.split(":")[2])] for s in filter(None, got[i][1].split(","))}
 
 
-def test_entities_of_one_text_are_protected(documents):
+def test_words_of_one_text_stay(documents):
+    """A word that stands once shows no co-occurrence; the entity beside it is masked all the same, and so is a term of several texts."""
     rows = [(i, f"plain filler words {'common' if i % 2 else 'usual'}") for i in range(30)]
     rows += [(30 + i, f"plain filler words number{'abcdefghijklmnopqrstuvwxyzabcdefgh'[i]}{'xyz'[i % 3]}") for i in range(34)]
     rows += [(100, "plain words zanzibar common a.b@c.de")]
+    rows += [(101 + i, f"plain words samarkand {'xyzuvw'[i]}{i} x.y@z.org") for i in range(6)]
     got, text = spans(documents(rows)), dict(rows)
-    assert term_words(got, text, 100) == {"zanzibar"}
+    assert got[100] == ("email:28:36", "")
+    assert all(term_words(got, text, 101 + i) == {"samarkand"} and "email" in got[101 + i][0] for i in range(6))
     assert all(not got[i][1] for i, _ in rows if i < 100)
 
 
