@@ -10,10 +10,12 @@ from longform.catalog import inputs as I
 from longform.catalog.registry import query, table
 from longform.operators import silver as Z
 from longform.operators.cells import unpivot_columns
+from longform.operators.drift import DriftHistory
 from longform.operators.similar_names import near_names
 from longform.plans.mapping_changes import SilverTable, save_version
 from longform.sources import reference_data as R, tables as S
 from longform.sources.checksums import BASES, PRIME, file_checksums as checksums_of
+from longform.sources.dictionary import Dictionary
 from longform.sources.schema_log import GrowingTable
 from longform.sources.storage import scratch_path
 
@@ -179,3 +181,53 @@ def similar_names(spark, sf_dir):
     names = part.select(first("p_name")).union(part.select(first("p_type")))
     names = names.union(table(spark, sf_dir, "nation").select(F.lower("n_name"))).union(table(spark, sf_dir, "region").select(F.lower("r_name")))
     return near_names(names, names).where("name <> other")
+
+
+# -- history ---------------------------------------------------------------------------
+
+_LOADS = 4
+_DRIFT_SQL = f"""WITH cells AS (
+  SELECT o_orderstatus AS vendor_id, 'attribute ' || (o_custkey % 11) AS lab_provided_attribute, o_orderkey % {_LOADS} AS load
+  FROM orders WHERE (o_custkey % 11 * 5 + o_orderkey % {_LOADS} * 3) % 4 <> 0
+), counted AS (
+  SELECT vendor_id, lab_provided_attribute, load, count(*) AS n FROM cells GROUP BY ALL
+), seen AS (
+  SELECT *, lag(load) OVER (PARTITION BY vendor_id, lab_provided_attribute ORDER BY load) AS before FROM counted
+)"""
+
+
+@query(
+    "drift_history",
+    f"""{_DRIFT_SQL}
+SELECT vendor_id, lab_provided_attribute, min(load) AS first_seen, max(load) AS last_seen, count(*) AS load_count,
+       count(*) FILTER (before IS NULL OR before < load - 1) AS spells, sum(n)::BIGINT AS record_count
+FROM seen GROUP BY ALL""",
+)
+def drift_history(spark, sf_dir):
+    """Orders arrive in four loads, with attributes that come and go; the state after the last one."""
+    cells = table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("vendor_id"),
+        F.concat(F.lit("attribute "), F.col("o_custkey") % 11).alias("lab_provided_attribute"),
+        (F.col("o_orderkey") % _LOADS).alias("load"),
+        (F.col("o_custkey") % 11 * 5).alias("shift"),
+    )
+    cells = cells.where((F.col("shift") + F.col("load") * 3) % 4 != 0)
+    history = DriftHistory(spark, scratch_path(spark, "drift"))
+    for load in range(_LOADS):
+        history.record(cells.where(F.col("load") == load), load)
+    return history.state()
+
+
+@query(
+    "dense_ids",
+    """WITH a AS (SELECT DISTINCT c_name AS name FROM customer WHERE c_custkey % 3 = 0),
+b AS (SELECT c_name AS name FROM customer UNION SELECT s_name FROM supplier)
+SELECT name, row_number() OVER (ORDER BY name) - 1 AS id FROM a
+UNION ALL SELECT name, (SELECT count(*) FROM a) + row_number() OVER (ORDER BY name) - 1 FROM b WHERE name NOT IN (SELECT name FROM a)""",
+)
+def dense_ids(spark, sf_dir):
+    """Some customers' names are numbered first, then all customers' and suppliers'; the first numbers stay."""
+    dictionary = Dictionary(spark, scratch_path(spark, "dictionary"))
+    customer, supplier = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    dictionary.extend(customer.where("c_custkey % 3 = 0").select("c_name"))
+    return dictionary.extend(customer.select("c_name").union(supplier.select("s_name")))
