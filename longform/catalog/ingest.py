@@ -12,6 +12,7 @@ from longform.catalog.registry import query, table
 from longform.functions.names import logical_file_name, vendor_of
 from longform.operators import cells as C, checks, header as H, provenance, reports
 from longform.plans.bronze import Landing, land_long, land_wide
+from longform.plans.parse_warnings import parse_warnings as warnings_of
 from longform.sources import tables as S
 from longform.sources.csv_lines import read_grid
 from longform.sources.storage import scratch_path
@@ -453,3 +454,19 @@ def ledger_files(spark, sf_dir):
     runs = [m["run"] for m in published(spark, out)]  # one for each run of the ledger
     number = F.coalesce(*[F.when(F.col("run") == r, F.lit(n)) for n, r in enumerate(runs, 1)])
     return landed_table(spark, out, "files").select("file_name", number.alias("run_no"))
+
+
+@query(
+    "parse_warnings",
+    f"""WITH {I.FILES_SQL}
+SELECT file_name, count(*) AS row_count, count(*) FILTER (c_custkey % 11 = 0) AS short_rows, 0::BIGINT AS long_rows,
+       CASE WHEN count(*) FILTER (c_custkey % 11 = 0) > 0 THEN 1 ELSE 0 END AS warnings
+FROM a_rows WHERE k % 10 <> 9 GROUP BY file_name
+UNION ALL SELECT file_name, count(*), 0, 0, 0 FROM b_rows WHERE k % 10 <> 9 GROUP BY file_name
+UNION ALL SELECT DISTINCT file_name, NULL, NULL, NULL, NULL FROM a_rows WHERE k % 10 = 9
+UNION ALL SELECT DISTINCT file_name, NULL, NULL, NULL, NULL FROM b_rows WHERE k % 10 = 9""",
+)
+def parse_warnings(spark, sf_dir):
+    """Files by the oddities of their rows; those without a header have none to judge."""
+    found = warnings_of(spark, I.messy_files(spark, sf_dir), threshold=4)
+    return found.select("file_name", "row_count", "short_rows", "long_rows", "warnings")

@@ -32,7 +32,8 @@ class Landing:
     errors: DataFrame
 
 
-def _threshold(threshold: int | Mapping[str, int], default: int, prefixes: Mapping[str, str]) -> Column | int:
+def threshold_of(threshold: int | Mapping[str, int], default: int, prefixes: Mapping[str, str]) -> Column | int:
+    """The threshold as it is, or as a column over ``file_id`` if it differs by vendor."""
     if isinstance(threshold, int):
         return threshold
     vendor = vendor_of(logical_file_name(F.col("file_id")), prefixes)
@@ -72,7 +73,7 @@ def land_lines(
     ingested_at: dt.datetime | None = None,
 ) -> Landing:
     """``land_long`` for lines that were already read; see ``csv_lines.lines_of``."""
-    scan = scan_records(lines, dialect, _threshold(threshold, default_threshold, prefixes))
+    scan = scan_records(lines, dialect, threshold_of(threshold, default_threshold, prefixes))
     headers = settle(header_table(scan, dialect, prefixes), "headers")
     stamp = ingested_at or dt.datetime.now()
     needed = headers.df.select("file_id", "file_name", "vendor_id", "header_line_no", "columns")
