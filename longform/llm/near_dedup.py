@@ -302,6 +302,6 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         return left
     once = left.join(again.df, "doc_id", "left_anti")
     one = left.join(again.df, "doc_id", "left_semi")
-    packed = F.struct(F.col("text").alias("t"), F.to_json(F.struct(*[c for c in one.columns])).alias("j"), F.struct(*one.columns).alias("row"))
-    one = one.groupBy("doc_id").agg(F.min(packed).alias("m")).select("m.row.*")
+    row = F.struct(*one.columns)  # may hold maps, which have no order: rows of one text are told by their JSON
+    one = one.groupBy("doc_id").agg(F.min_by(row, F.struct(F.col("text"), F.to_json(row))).alias("row")).select("row.*")
     return once.unionByName(one.select(*once.columns))

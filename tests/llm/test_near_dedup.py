@@ -86,3 +86,11 @@ def test_texts_of_one_id_are_linked(documents):
 def test_empty(nothing):
     assert near_duplicates(nothing).count() == 0
     assert drop_near_duplicates(nothing).count() == 0
+
+
+def test_map_columns_are_kept(documents):
+    from pyspark.sql import functions as F
+
+    docs = documents([(1, "b b"), (1, "a a"), (1, "a a"), (2, "c c")]).withColumn("tags", F.create_map(F.lit("k"), F.col("text")))
+    kept = sorted((r.doc_id, r.text, r.tags["k"]) for r in drop_near_duplicates(docs).collect())
+    assert kept == [(1, "a a", "a a"), (2, "c c", "c c")]
