@@ -11,10 +11,12 @@ from longform.catalog.registry import query, table
 from longform.operators import silver as Z
 from longform.operators.cells import unpivot_columns
 from longform.operators.drift import DriftHistory
+from longform.operators.records import pivot_records, unpivot_records
 from longform.operators.similar_names import near_names
 from longform.plans.mapping_changes import SilverTable, save_version
 from longform.sources import reference_data as R, tables as S
 from longform.sources.checksums import BASES, PRIME, file_checksums as checksums_of
+from longform.sources.clustered import ClusteredTable
 from longform.sources.dictionary import Dictionary
 from longform.sources.schema_log import GrowingTable
 from longform.sources.storage import scratch_path
@@ -231,3 +233,77 @@ def dense_ids(spark, sf_dir):
     customer, supplier = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
     dictionary.extend(customer.where("c_custkey % 3 = 0").select("c_name"))
     return dictionary.extend(customer.select("c_name").union(supplier.select("s_name")))
+
+
+# -- layout ------------------------------------------------------------------------------
+
+_NAMES = sorted(name for name, _ in [*I.A_COLUMNS, *I.B_COLUMNS])
+
+
+def _records_sql() -> str:
+    parts = []
+    for columns, vendor, source, key in ((I.A_COLUMNS, "vendor_a", "customer", "c_custkey"), (I.B_COLUMNS, "vendor_b", "supplier", "s_suppkey")):
+        known = dict(columns)
+        values = ", ".join(f"{known.get(n, 'CAST(NULL AS VARCHAR)')} AS {n}" for n in _NAMES)
+        parts.append(f"SELECT '{vendor}' AS vendor_id, {key} AS row_index, {values} FROM {source}")
+    return " UNION ALL ".join(parts)
+
+
+@query("pivot_records", _records_sql())
+def records_of_cells(spark, sf_dir):
+    """Both vendors' cells as one record per row; the columns are those that the records turn out to have."""
+    return pivot_records(I.long_cells(spark, sf_dir), ["vendor_id", "row_index"]).columns()
+
+
+@query("unpivot_records", f"WITH {I.LONG_SQL} SELECT vendor_id, row_index, lab_provided_attribute, lab_provided_value FROM long")
+def cells_of_records(spark, sf_dir):
+    """Cells to records and back."""
+    return unpivot_records(pivot_records(I.long_cells(spark, sf_dir), ["vendor_id", "row_index"]).df)
+
+
+_CLUSTERED = ("vendor_id", "lab_provided_attribute", "file_name")
+
+
+def _clustered(spark: SparkSession, sf_dir: str) -> ClusteredTable:
+    """Orders as cells, laid out along the curve in 64 files or so."""
+    cells = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("vendor "), "o_orderstatus").alias("vendor_id"),
+        F.concat(F.lit("attribute "), (F.col("o_custkey") % 23).cast("string")).alias("lab_provided_attribute"),
+        F.concat(F.date_format("o_orderdate", "yyyy-MM"), F.lit(".csv")).alias("file_name"),
+        F.col("o_orderkey").alias("row_index"),
+        F.col("o_orderpriority").alias("lab_provided_value"),
+    )
+    made = ClusteredTable(spark, scratch_path(spark, "clustered"), _CLUSTERED)
+    made.write(cells, rows_per_file=max(1, cells.count() // 64))
+    return made
+
+
+_CELLS_OF_ORDERS = """SELECT 'vendor ' || o_orderstatus AS vendor_id, 'attribute ' || (o_custkey % 23) AS lab_provided_attribute,
+  strftime(o_orderdate, '%Y-%m') || '.csv' AS file_name, o_orderkey AS row_index, o_orderpriority AS lab_provided_value FROM orders"""
+
+
+@query("clustered_read", f"WITH cells AS ({_CELLS_OF_ORDERS}) SELECT * FROM cells WHERE lab_provided_attribute IN ('attribute 3', 'attribute 17') AND vendor_id = 'vendor F'")
+def clustered_read(spark, sf_dir):
+    """Cells of two attributes of one vendor, from the files whose zones hold them."""
+    return _clustered(spark, sf_dir).read({"lab_provided_attribute": ["attribute 3", "attribute 17"], "vendor_id": ["vendor F"]})
+
+
+_ASKED = [("vendor_id", "vendor P"), ("lab_provided_attribute", "attribute 8"), ("file_name", "1997-03.csv")]
+
+
+@query(
+    "clustered_zones",
+    f"WITH cells AS ({_CELLS_OF_ORDERS}) "
+    + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS row_count, true AS skips_files FROM cells WHERE {c} = '{v}'" for c, v in _ASKED),
+)
+def clustered_zones(spark, sf_dir):
+    """For a filter on each of the columns: the rows it finds, and whether a third of the files at least stay closed."""
+    made = _clustered(spark, sf_dir)
+    whole = made.zones().agg(F.count("*").alias("files"))
+    found = None
+    for column, value in _ASKED:
+        opened = made.files_for({column: [value]}).agg(F.count("*").alias("opened"))
+        rows = made.read({column: [value]}).agg(F.count("*").alias("row_count"))
+        one = rows.join(opened).join(whole).select(F.lit(column).alias("column_name"), "row_count", (F.col("opened") * 3 <= F.col("files") * 2).alias("skips_files"))
+        found = one if found is None else found.unionByName(one)
+    return found
