@@ -1,10 +1,11 @@
 """Benchmark decontamination by templates, in built-in functions only.
 
 Texts are cut into words and every word gets a template form: numbers, units after a number
-and names (capitalised words inside a sentence) become typed placeholders, all else is in
+and names (words with a capital first letter and a small second one; a run of names is one) become typed placeholders, all else is in
 lower case without punctuation. Windows of ``WINDOW`` template words of the benchmark and of
 every text meet in a hash join, so a question that only differs in its numbers, units or
-names still matches. A match is then read again: along one alignment of a document and an
+names still matches. The benchmark's side has each item a second time in lower case, without names: texts in small letters or in
+capitals have none either, so copies in another case meet that form. A match is then read again: along one alignment of a document and an
 item, each value of a slot in the item must stand for one value in the document. An alignment with
 contradictory slots is split: a stretch of windows counts by itself if its own slots agree, and the whole counts
 if it holds at least ``MIN_LITERAL`` literal words for each contradiction. What counts is verbatim (no slot differs) or
@@ -17,7 +18,8 @@ item that has none but these is compared by its windows all the same.
 
 Work is keyed by the digest of the text, so copies are judged once. The benchmark's table is
 broadcast only if it is measured to fit, otherwise both sides are shuffled by window.
-Null and empty texts and items match nothing. An item shorter than a window is one
+Null and empty texts and items match nothing. An item without an id is searched like any other, and found under a null id;
+different texts under one id are different items, of which the best match counts. An item shorter than a window is one
 window of its own length. Repeated rows give repeated results; empty tables give none.
 """
 
@@ -42,13 +44,15 @@ UNITS = (
 
 def _clean(text: Column) -> Column:
     """Words by single blanks: names marked, numbers whole and apart from what follows them, no other punctuation."""
-    text = F.regexp_replace(text, r"(?<=[\p{L}\p{N},;:] )(?=\p{Lu}\p{L})", NAME)
+    marks = NAME + NUMBER + UNIT
+    text = F.when(text.rlike(f"[{marks}]"), F.translate(text, marks, "   ")).otherwise(text)
+    text = F.regexp_replace(text, r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{N}])", NAME)
     text = F.regexp_replace(text, rf"(?<![0-9])[.,:/]|[.,:/](?![0-9])|[^\p{{L}}\p{{N}}{NAME}.,:/]+", " ")
     return F.btrim(F.regexp_replace(text, r"(?<=[0-9])(?=\p{L})| {2,}", " "))
 
 
 def _template(clean: Column) -> Column:
-    text = F.regexp_replace(clean, rf"{NAME}[\p{{L}}\p{{N}}]+", NAME)
+    text = F.regexp_replace(clean, rf"{NAME}[^ ]+(?: {NAME}[^ ]+)*", NAME)
     text = F.regexp_replace(text, r"(?<![^ ])[0-9][0-9.,:/]*", NUMBER)
     text = F.lower(text)
     return F.regexp_replace(text, rf"(?<={NUMBER} )(?:{'|'.join(UNITS)})(?= |$)", UNIT)
@@ -63,7 +67,8 @@ def templates(table: DataFrame, *keys: str, values: bool) -> DataFrame:
     clean = table.select(*keys, _clean(F.coalesce("text", F.lit(""))).alias("clean"))
     found = [_split(_template(F.col("clean"))).alias("template")]
     if values:
-        found.append(_split(F.regexp_replace(F.lower("clean"), NAME, "")).alias("words"))
+        runs = F.regexp_replace("clean", rf"({NAME}[^ ]+) (?={NAME})", "$1")
+        found.append(_split(F.regexp_replace(F.lower(runs), NAME, "")).alias("words"))
     return clean.select(*keys, *found)
 
 
@@ -75,22 +80,29 @@ def _windows(size: int) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, hash, at, size, n_windows, and the template and words of the window."""
-    items = templates(benchmark.where("item_id IS NOT NULL"), "item_id", values=True).where(F.size("template") > 0).distinct()
+    """asked (item and form), item_id, hash, at, size, n_windows, and the template and words of the window."""
+    named = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
+    folded = F.explode(F.array(F.struct(F.lit("names").alias("form"), "text"), F.struct(F.lit("no names").alias("form"), F.lower("text").alias("text"))))
+    named = named.select("item_id", F.md5(F.col("text").cast("binary")).alias("digest"), folded.alias("f")).select("item_id", "digest", "f.*")
+    items = templates(named, "item_id", "digest", "form", values=True).where(F.size("template") > 0)
+    # one that has no names has only one form
+    items = items.groupBy("item_id", "digest", "template", "words").agg(F.min("form").alias("form"))
+    item = F.concat_ws(":", F.coalesce(F.col("item_id").cast("string"), F.lit("none")), "digest", "form")
     size = F.least(F.size("template"), F.lit(WINDOW))
-    each = items.select("item_id", "template", "words", size.alias("size"), F.explode(F.sequence(F.lit(0), F.size("template") - size)).alias("at"))
+    each = items.select(item.alias("asked"), "item_id", "template", "words", size.alias("size"), F.explode(F.sequence(F.lit(0), F.size("template") - size)).alias("at"))
     part = lambda c: F.slice(c, F.col("at") + 1, F.col("size"))
-    each = each.select("item_id", "at", "size", part("template").alias("template"), part("words").alias("item_words"))
+    each = each.select("asked", "item_id", "at", "size", part("template").alias("template"), part("words").alias("item_words"))
     literal = F.size(F.filter("template", lambda w: ~w.isin(NAME, NUMBER, UNIT)))
     each = each.withColumn("literal", literal >= F.least(F.lit(MIN_LITERAL), F.col("size")))
-    said = each.groupBy("item_id").agg(F.max("literal").alias("says"), F.sum(F.col("literal").cast("int")).alias("n"), F.count("*").alias("m"))
-    each = each.join(said, "item_id").where("literal OR NOT says")
-    # the first word of an item may stand inside a sentence in a document, and then counts as a name
-    inside = F.concat(F.array(F.lit(NAME)), F.slice("template", F.lit(2), F.greatest(F.col("size") - 1, F.lit(0))))
-    forms = F.when((F.col("at") == 0) & (F.col("template")[0] != NAME), F.array(F.col("template"), inside)).otherwise(F.array("template"))
+    said = each.groupBy("asked").agg(F.max("literal").alias("says"), F.sum(F.col("literal").cast("int")).alias("n"), F.count("*").alias("m"))
+    each = each.join(said, "asked").where("literal OR NOT says")
+    # the first word of an item may have a small letter inside a sentence, or a capital where the item has none
+    first = F.when(F.col("template")[0] == NAME, F.col("item_words")[0]).otherwise(F.lit(NAME))
+    other = F.concat(F.array(first), F.slice("template", F.lit(2), F.greatest(F.col("size") - 1, F.lit(0))))
+    forms = F.when((F.col("at") == 0) & ~F.col("template")[0].isin(NUMBER, UNIT), F.array(F.col("template"), other)).otherwise(F.array("template"))
     each = each.withColumn("template", F.explode(forms))
     hashed = F.xxhash64(F.col("size"), *[F.get("template", F.lit(k)) for k in range(WINDOW)])
-    return each.select("item_id", hashed.alias("hash"), "at", "size", F.when(F.col("says"), F.col("n")).otherwise(F.col("m")).alias("n_windows"), "template", "item_words")
+    return each.select("asked", "item_id", hashed.alias("hash"), "at", "size", F.when(F.col("says"), F.col("n")).otherwise(F.col("m")).alias("n_windows"), "template", "item_words")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -119,8 +131,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.transform("template", lambda w, k: F.struct(w.alias("kind"), (F.col("at") + k).alias("place"), F.col("item_words")[k].alias("item"), F.col("words")[F.col("spot") + k].alias("doc"))),
         lambda s: s["kind"].isin(NAME, NUMBER, UNIT),
     )
-    aligned = store(read.select("name", "item_id", (F.col("spot") - F.col("at")).alias("shift"), "at", "size", "n_windows", slots.alias("slots")), "matches")
-    key = ["name", "item_id", "shift"]
+    aligned = store(read.select("name", "asked", "item_id", (F.col("spot") - F.col("at")).alias("shift"), "at", "size", "n_windows", slots.alias("slots")), "matches")
+    key = ["name", "asked", "item_id", "shift"]
     runs = aligned.groupBy(*key).agg(
         F.sort_array(F.collect_set("at")).alias("ats"), F.max("n_windows").alias("n_item_windows"), F.max("size").alias("size")
     )
@@ -135,7 +147,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.count("turn").alias("turns"),
     )
     no_slots, no_turns = F.array().cast("array<struct<place:int,changed:boolean>>"), F.array().cast("array<struct<place:int,against:int>>")
-    judged = runs.join(values, key, "left").withColumn("slots", F.coalesce("slots", no_slots)).withColumn("apart", F.coalesce("apart", no_turns))
+    judged = runs.join(values.drop("item_id"), ["name", "asked", "shift"], "left").withColumn("slots", F.coalesce("slots", no_slots)).withColumn("apart", F.coalesce("apart", no_turns))
     end = lambda t: t + F.col("size") - 1
     # for each window the longest stretch that ends with it and has no contradiction
     low = lambda t: F.coalesce(F.array_max(F.filter("apart", lambda c: c["place"] <= end(t))["against"]) + 1, F.lit(0))
@@ -173,6 +185,7 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows, with all columns, that hold no item of the benchmark."""
-    found = settle(contaminated(docs, benchmark).select(F.col("name").alias("_text_digest")).distinct(), "contaminated")
-    named = docs.withColumn("_text_digest", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    return join_small(named, found.df, ["_text_digest"], "left_anti", spread=["_text_digest"], fits=found.fits).select(*docs.columns)
+    found = settle(contaminated(docs, benchmark).select("name").distinct(), "contaminated")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    named = docs.select(row, F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("name"))
+    return join_small(named, found.df, ["name"], "left_anti", spread=["name"], fits=found.fits).select("row.*")

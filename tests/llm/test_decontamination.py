@@ -1,3 +1,8 @@
+import random
+import re
+
+from pyspark.sql import functions as F
+
 from longform.llm.decontamination import contaminated_documents, decontaminate
 
 ITEM = "Tom has 12 apples and gives 5 apples to Anna every day, how many apples are left?"
@@ -30,7 +35,7 @@ def test_slots_must_agree(spark, documents):
 def test_units_and_short_items(spark, documents):
     rows = [(1, "a road of 5km runs past here"), (2, "a road of 90 miles runs past here"), (3, "a road past here")]
     got = found(spark, documents, rows, [(1, "a road of 12 km runs past here"), (2, None), (3, ""), (None, "a road of 12 km runs past here")])
-    assert {(i, j) for i, j, _ in got} == {(1, 1), (2, 1)}
+    assert {(i, j) for i, j, _ in got} == {(1, 1), (2, 1), (1, None), (2, None)}
 
 
 def test_decontaminate_keeps_columns_and_rows(spark, documents, awkward):
@@ -62,3 +67,110 @@ def test_one_contradiction_does_not_discard_an_alignment(spark, documents):
     ]
     got = found(spark, documents, rows, [(1, item), (2, fruit), (3, mixed), (4, mixed + tail)])
     assert {(i, j) for i, j, _ in got if i == j} == {(1, 1), (2, 2), (4, 4)}
+
+
+QUESTION = "Tom has 12 apples. Tom gives 5 to Ann. Tom eats 2 of them. How many apples has Tom now after lunch at school?"
+
+
+def test_copies_in_other_case_and_other_names(spark, documents):
+    rows = {
+        "same": (QUESTION, "verbatim"),
+        "small": (QUESTION.lower(), "verbatim"),
+        "capitals": (QUESTION.upper(), "verbatim"),
+        "wrapped": ("so: " + QUESTION.replace(". ", ".\n").replace(" of ", "\n  of "), "verbatim"),
+        "bare": (QUESTION.replace(".", "").replace("?", ""), "verbatim"),
+        "numbers": (QUESTION.replace("12", "30").replace("5", "7"), "reparameterised"),
+        "numbers, small": (QUESTION.lower().replace("12", "30").replace("5", "7"), "reparameterised"),
+        "name at a start": (QUESTION.replace("Tom", "Berta"), "reparameterised"),
+        "run of names": (QUESTION.replace("to Ann.", "to Mary Ann."), "reparameterised"),
+        "inside": ("we ask how many apples there are and t" + QUESTION[1:], "verbatim"),
+        "clean": ("Nobody at school eats lunch, and 12 apples cost 5 of them. How are you now, Tom?", None),
+    }
+    got = found(spark, documents, [(i, text) for i, (text, _) in enumerate(rows.values())], [(1, QUESTION)])
+    kinds = {i: kind for i, _, kind in got}
+    assert {name: kinds.get(i) for i, name in enumerate(rows)} == {name: kind for name, (_, kind) in rows.items()}
+
+
+def test_reserved_characters_and_clashing_names(spark, documents):
+    marked = documents([(1, ITEM.replace("12", "\ue000 \ue001 \ue002")), (2, "\ue000" + ITEM)]).withColumn("_text_digest", F.lit("mine"))
+    kept = decontaminate(marked, spark.createDataFrame([(1, ITEM)], ITEMS)).collect()
+    assert [(r.doc_id, r._text_digest) for r in kept] == []
+    assert decontaminate(marked, spark.createDataFrame([(1, "nothing of the kind is ever asked of them")], ITEMS)).count() == 2
+
+
+def test_items_without_or_with_shared_ids(spark, documents):
+    items = [(None, QUESTION), (None, ITEM), (4, QUESTION), (4, ITEM), (4, ITEM)]
+    got = found(spark, documents, [(1, f"{QUESTION} {ITEM}"), (2, ITEM.upper()), (None, QUESTION)], items)
+    assert got == {(i, j, "verbatim") for i in (1, 2, None) for j in (None, 4)}
+
+
+# -- brute force -----------------------------------------------------------------
+
+VOCABULARY = [f"{a}{b}{c}" for a in "bdgklmnprst" for b in "aeiou" for c in ("", "n", "r", "st")]
+PEOPLE = ["Ann", "Berta", "Carl", "Dora", "Émile", "Frieda", "Gustav", "Hanna"]
+
+
+def forms_of(text):
+    """Template words, read word by word."""
+    out = []
+    for word in re.findall(r"[^\W_]+", text):
+        if re.match(r"\d", word):
+            out.append("#")
+        elif re.match(r"[A-ZÉ][a-zé]", word):
+            if out[-1:] != ["@"]:
+                out.append("@")
+        else:
+            out.append(word.lower())
+    return out
+
+
+def shared_windows(text, item):
+    """Most windows of one alignment that hold at least four literal words, over both forms of the item."""
+    best, words = 0, forms_of(text)
+    for form in {tuple(forms_of(item)), tuple(forms_of(item.lower()))}:
+        for shift in range(-len(form), len(words)):
+            n = 0
+            for at in range(len(form) - 7):
+                same = at + shift >= 0 and form[at : at + 8] == tuple(words[at + shift : at + shift + 8])
+                n += same and sum(w not in "#@" for w in form[at : at + 8]) >= 4
+            best = max(best, n)
+    return best
+
+
+def _question(rng):
+    """14 to 40 words, of which every fifth may be a number or one of two names; the first has a capital."""
+    who = rng.sample(PEOPLE, 2)
+    words = [rng.choice(VOCABULARY) for _ in range(rng.randint(14, 40))]
+    for at in range(3, len(words), 5):
+        words[at] = rng.choice([str(rng.randint(2, 99)), rng.choice(who), words[at]])
+    return " ".join([words[0].capitalize(), *words[1:]])
+
+
+def test_generated_items_against_brute_force(spark, documents):
+    rng = random.Random(12)
+    items = [_question(rng) for _ in range(40)]
+    fill = lambda: " ".join(rng.choice(VOCABULARY) for _ in range(30))
+    rows, planted = [], {}
+
+    def plant(kind, item, text):
+        planted.setdefault(kind, []).append((len(rows), item))
+        rows.append((len(rows), f"{fill()}. {text}. {fill()}"))
+
+    for k, item in enumerate(items):
+        plant("verbatim", k, item)
+        plant("verbatim", k, item.lower())
+        plant("verbatim", k, item.upper())
+        plant("verbatim", k, item.replace(" ", "\n", 6))
+        new = dict(zip(PEOPLE, rng.sample(PEOPLE, len(PEOPLE)), strict=True))
+        other = re.sub(r"[^\W\d_]+", lambda m: new.get(m.group(), m.group()), item)
+        plant("names", k, other)
+        plant("numbers", k, re.sub(r"\d+", lambda m: str(int(m.group()) + 100), other))
+    rows += [(len(rows) + i, fill()) for i in range(50)]
+    got = contaminated_documents(documents(rows), spark.createDataFrame(list(enumerate(items)), ITEMS)).collect()
+    pairs = {(r.doc_id, r.item_id): r.n_windows for r in got}
+    assert all(p in pairs for p in planted["verbatim"])
+    for kind in ("names", "numbers"):
+        assert sum(p in pairs for p in planted[kind]) >= 0.9 * len(planted[kind])
+    assert set(pairs) <= {p for some in planted.values() for p in some}
+    want = {p: shared_windows(rows[p[0]][1], items[p[1]]) for p in planted["verbatim"]}
+    assert {p: pairs[p] for p in want} == want
