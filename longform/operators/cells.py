@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from longform.operators.header import after_header, with_columns
+from longform.sources.storage import join_small, settle
 
 # The fixed long schema. Parsed cells carry wider positions (bigint) and two more
 # columns, which ``conform_bronze`` narrows to this.
@@ -74,6 +75,23 @@ def unpivot_columns(
     return df.select(*keys, F.explode(cells).alias("c")).select(*keys, "c.*")
 
 
+def number_across_files(cells: DataFrame, headers: DataFrame) -> DataFrame:
+    """Cells whose ``row_index`` runs on over all files of one name, so that name and row index tell rows apart without ``file_id``.
+
+    The part files of a folder are one file to whoever reads the fixed schema. Rows are counted from the headers (one row per file), by path; the first
+    file of a name keeps its numbers, and where no name has several files nothing is joined.
+    """
+    before = Window.partitionBy("file_name").orderBy("file_id").rowsBetween(Window.unboundedPreceding, -1)
+    rows = F.col("line_count") - F.col("header_line_no") - 1
+    offsets = headers.select("file_id", F.sum(rows).over(before).alias("_before")).filter(F.col("_before") > 0)
+    offsets = settle(offsets, "file-offsets", files=F.count("*"))
+    if not offsets.metrics["files"]:
+        return cells
+    placed = join_small(cells, offsets.df, ["file_id"], "left", spread=["row_index"], fits=offsets.fits)
+    placed = placed.withColumn("row_index", F.col("row_index") + F.coalesce("_before", F.lit(0)))
+    return placed.select(*cells.columns)
+
+
 def conform_bronze(cells: DataFrame) -> DataFrame:
     """Exactly the fixed long schema, in its order; a null where it allows none is an error."""
     fixed = []

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from longform.functions.dialect import CsvDialect
-from longform.operators.cells import conform_bronze
+from longform.operators.cells import conform_bronze, number_across_files
 from longform.operators.provenance import with_provenance, with_row_id
 from longform.operators.reports import monthly_summary
 from longform.operators.silver import standardize, typed
@@ -57,10 +57,10 @@ def long_medallion(
     """Messy CSV files to the long bronze table and the standardised silver table.
 
     Both tables are laid out by vendor, so a report on one vendor reads only its
-    files. Returns the landing, whose ``errors`` list the files that failed.
+    files. Rows of part files of one name are numbered on, as the fixed schema has no other key. Returns the landing, whose ``errors`` list the files that failed.
     """
     ensure_layers(spark, *layers)
     landing = land_long(spark, path, dialect, threshold=threshold)
-    overwrite_table(conform_bronze(landing.cells), bronze, format, ("vendor_id",))
+    overwrite_table(conform_bronze(number_across_files(landing.cells, landing.headers)), bronze, format, ("vendor_id",))
     overwrite_table(standardize(spark.table(bronze), mapping, canonical), silver, format, ("vendor_id",))
     return landing

@@ -301,7 +301,8 @@ def scan_records(
 def empty_files(spark: SparkSession, path: str | list[str], headers: DataFrame, errors: DataFrame) -> DataFrame:
     """file_id, file_name, error of the files without a byte, which Spark's scans pass over.
 
-    They are the files of the listing (which the driver holds for any scan) that no scan reports. No file is read.
+    They are the files of the listing (which the driver holds for any scan) that no scan reports. No file is read. Every source of Spark leaves
+    out files of length 0, ``binaryFile`` too, so the listing is the only place that names them.
     """
     listed = spark.read.option("recursiveFileLookup", True).text(path).inputFiles()
     names = spark.createDataFrame([(p,) for p in listed], "file_id string")

@@ -271,6 +271,16 @@ def test_folder_without_lines(spark, tmp_path):
     assert [(r.file_name, r.error) for r in landing.errors.collect()] == [("vendor_a none.csv", "File is empty.")]
 
 
+def test_empty_files_with_odd_names(spark, tmp_path):
+    names = ["a b.csv", "c%20d.csv", "e+f#g.csv", "h é.csv", "i?j.csv"]
+    for name in names:
+        put(tmp_path, f"vendor_a {name}", "")
+        put(tmp_path, f"vendor_b {name}", "a,b\n1,2\n")
+    landing = land_long(spark, str(tmp_path), threshold=2)
+    assert sorted(r.file_name for r in landing.errors.collect()) == sorted(f"vendor_a {n}" for n in names)
+    assert landing.cells.count() == 2 * len(names)
+
+
 def test_folder_without_files(spark, tmp_path):
     landing = land_long(spark, str(tmp_path), threshold=2)
     assert landing.cells.isEmpty() and landing.headers.isEmpty() and landing.errors.isEmpty()

@@ -57,6 +57,20 @@ def test_long_medallion(spark, tmp_path):
     assert spark.table("bronze.lab_samples_unpivoted").count() == 14
 
 
+def test_part_files_are_numbered_on(spark, tmp_path):
+    folder = tmp_path / "vendor_a y.csv"
+    for part, rows in enumerate([["PYB1", "PYB2"], ["PYB3"], ["PYB4", "PYB5"]]):
+        write(folder, f"part-0000{part}.csv", HEADER + "".join(f"{name},PSL,2024-01-02,2024-01-09,6.3,5,1\n" for name in rows))
+    write(tmp_path, "vendor_b z.csv", HEADER + "PYB6,PSL,2024-01-02,2024-01-09,6.3,5,1\n")
+    write(folder, "part-00003.csv", "")
+    names = {"bronze": "bronze.numbered_parts", "silver": "silver.numbered_parts"}
+    landing = long_medallion(spark, str(tmp_path), R.vendor_column_mapping(spark), R.canonical_column_definitions(spark), **names)
+    assert [(r.file_name, r.error) for r in landing.errors.collect()] == [("vendor_a y.csv", "File is empty.")]
+    bronze = spark.table("bronze.numbered_parts").filter("lab_provided_attribute = 'sample_barcode'")
+    got = {(r.file_name, r.row_index): r.lab_provided_value for r in bronze.collect()}
+    assert got == {("vendor_a y.csv", i): f"PYB{i}" for i in range(1, 6)} | {("vendor_b z.csv", 1): "PYB6"}
+
+
 def test_row_numbers_of_split_csv(spark, tmp_path, small_splits):
     write(tmp_path, "a.csv", "i,t\n" + "".join(f"{i},row\n" for i in range(1, 301)))
     write(tmp_path, "b.csv", "i,t\n" + "".join(f"{i},row\n" for i in range(1, 51)))
