@@ -2,10 +2,10 @@
 
 ``write_token_files`` sends documents to shards by range of ``doc_id``, so shards, blocks
 and documents stand in ascending order. Inside a shard ids are gathered into blocks of about
-``block_ids`` ids (whole documents). Each block is compressed by Re-Pair: in every round the
-most frequent pairs of neighbouring symbols become nonterminals, all their occurrences are
-replaced from left to right, and the next round counts anew. A round replaces up to
-``PAIRS_A_ROUND`` pairs at once (their occurrences never overlap), so a block costs a few passes.
+``block_ids`` ids (whole documents), so that memory is bounded, and each block has a grammar of its
+own. It is compressed by Re-Pair until no pair of neighbouring symbols occurs ``MIN_COUNT`` times.
+A round replaces many pairs at once, the more frequent before those they overlap; what is left of
+these waits for the next round.
 
 A file is a Parquet dataset with one row per block: ``shard``, ``seq``, ``n_docs``, ``n_ids``
 and ``block``, the bytes below (little-endian), which need no other row to be decoded. Spark's
@@ -42,10 +42,8 @@ from longform.llm.workers import enter
 MAGIC = b"RPG1"
 NO_ID = -(2**63)
 BLOCK_IDS = 1_000_000
-ROUNDS = 5
-PAIRS_A_ROUND = 1024
-#: A pair must occur this often in a block to pay for its rule.
-MIN_COUNT = 24
+#: A pair must occur this often in a block to get a rule, which takes 12 bytes and saves 2 or 4 a use.
+MIN_COUNT = 12
 #: The top 17 bits of a pair's hash.
 BUCKETS = 1 << 17
 BLOCK_SCHEMA = "shard int, seq int, n_docs long, n_ids long, block binary"
@@ -57,61 +55,100 @@ def bucket_of(keys):
     return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(47)).astype(np.int32)
 
 
-def frequent_pairs(symbols, least: int, most: int):
-    """All pairs as keys ``left << 32 | right``, each one's bucket, and up to ``most`` keys that occur at least ``least`` times.
-
-    Pairs are first counted by a hash of them; only those in buckets that reach the least count are sorted.
+def frequent_pairs(keys, bucket, least: int):
+    """The keys that occur at least ``least`` times, ascending, each one's rank by count (equal counts by key), and where each
+    key stands among them (-1: nowhere). ``bucket`` is each key's; keys that share one are searched for, there are few.
     """
     import numpy as np
 
-    keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-    slot = bucket_of(keys)
-    counts = np.bincount(slot, minlength=BUCKETS)
-    if counts.max(initial=0) < least:
-        return keys, slot, keys[:0]
-    # the buckets beyond the most frequent ``most`` cannot hold more frequent pairs than the floor
-    floor = max(least, int(np.partition(counts, -most)[-most]) // 2)
-    found, n = np.unique(keys[counts[slot] >= floor], return_counts=True)
-    order = np.argsort(-n, kind="stable")[:most]
-    return keys, slot, found[order[n[order] >= least]]
-
+    ordered = np.sort(keys)
+    edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+    count = np.diff(edge, append=len(ordered))
+    pairs, count = ordered[edge[count >= least]], count[count >= least]
+    if not len(pairs):
+        return pairs, count, np.full(len(keys), -1, np.int32)
+    of = bucket_of(pairs)
+    table = np.full(BUCKETS, -1, np.int32)
+    table[of] = np.arange(len(pairs), dtype=np.int32)
+    place = table[bucket]
+    miss = pairs[place] != keys
+    place[miss] = -1
+    again = np.flatnonzero(miss & (np.bincount(of, minlength=BUCKETS) > 1)[bucket])
+    near = np.minimum(np.searchsorted(pairs, keys[again]), len(pairs) - 1)
+    place[again] = np.where(pairs[near] == keys[again], near, -1)
+    rank = np.empty(len(pairs), np.int32)
+    rank[np.argsort(count, kind="stable")] = np.arange(len(pairs), dtype=np.int32)
+    return pairs, rank, place
+
+
+def first_choices(at, after, rank):
+    """Of pairs that start at ``at`` (ascending; ``after``: where their right symbols are), those to replace.
+
+    A pair is chosen if its ``rank`` is above those it overlaps; of a run of one pair that overlaps itself every second is, from
+    the left. Pairs that overlap none of these have their turn next, until each is chosen or overlaps a chosen one. As the choice
+    depends on the symbols around and not on places, copies are replaced alike.
+    """
+    import numpy as np
 
-def compress(ids, first: int, rounds: int = ROUNDS):
-    """(symbols, rules as an r x 2 array) of some ids below ``first``."""
+    joined = after[:-1] == at[1:]
+    chosen, left = np.zeros(len(at), bool), np.arange(len(at))
+    while len(left):
+        high, beside = rank[left], joined[left[:-1]] & (np.diff(left) == 1)
+        step = np.diff(high)
+        wins = np.ones(len(left), bool)
+        wins[1:] &= ~(beside & (step < 0))
+        wins[:-1] &= ~(beside & (step > 0))
+        start = np.flatnonzero(np.concatenate([[True], ~beside | (step != 0)]))
+        size = np.diff(start, append=len(left))
+        whole = np.repeat(wins[start] & wins[start + size - 1], size)
+        chosen[left[whole & ((np.arange(len(left)) - np.repeat(start, size)) % 2 == 0)]] = True
+        busy = chosen.copy()
+        busy[1:] |= joined & chosen[:-1]
+        busy[:-1] |= joined & chosen[1:]
+        left = left[~busy[left]]
+    return np.flatnonzero(chosen)
+
+
+def compress(ids, first: int, least: int = MIN_COUNT):
+    """(symbols, rules as an r x 2 array) of some ids below ``first``; no pair is left that occurs ``least`` times.
+
+    Symbols are a linked list, and a round looks only at pairs that may be frequent: those found frequent
+    before, and those that hold a symbol of the last round. All others can only have become rarer.
+    """
     import numpy as np
 
-    symbols, rules, top = ids.astype(np.uint32), [], first
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
-        keys, bucket, pairs = frequent_pairs(symbols, MIN_COUNT, PAIRS_A_ROUND)
+    n, top, rules = len(ids), first, []
+    symbols, alive = ids.astype(np.uint32), np.ones(n, bool)
+    after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    at = np.arange(n, dtype=np.int32)
+    while True:
+        right = after[at]
+        if len(at) and right[-1] == n:
+            at, right = at[:-1], right[:-1]
+        keys = (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[right]
+        bucket = bucket_of(keys)
+        likely = np.flatnonzero((np.bincount(bucket, minlength=BUCKETS) >= least)[bucket])
+        pairs, rank, place = frequent_pairs(keys[likely], bucket[likely], least)
         if not len(pairs):
             break
-        ordered = np.sort(pairs)
-        likely = np.zeros(BUCKETS, bool)
-        likely[bucket_of(ordered)] = True
-        at = np.flatnonzero(likely[bucket])
-        slot = np.minimum(np.searchsorted(ordered, keys[at]), len(ordered) - 1)
-        hit = ordered[slot] == keys[at]
-        at, slot = at[hit], slot[hit]
-        # of matches that overlap, every second one from the left is replaced
-        fresh = np.ones(len(at), bool)
-        fresh[1:] = np.diff(at) > 1
-        start = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
-        every = (np.arange(len(at)) - start) % 2 == 0
-        at, slot = at[every], slot[every]
-        used = np.flatnonzero(np.bincount(slot, minlength=len(ordered)))
-        place = np.zeros(len(ordered), np.int64)
-        place[used] = np.arange(len(used))
-        which = place[slot]
-        chosen = ordered[used]
-        rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        symbols[at] = (top + which).astype(np.uint32)
-        keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        symbols = symbols[keep]
-        top += len(chosen)
-    return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
+        found = np.flatnonzero(place >= 0)
+        place, found = place[found], likely[found]
+        at, right = at[found], right[found]
+        chosen = first_choices(at, right, rank[place])
+        # pairs may lose places to others; the most frequent loses them only to itself and keeps half, so each round replaces some
+        pays = np.bincount(place[chosen], minlength=len(pairs)) >= least // 2
+        chosen = chosen[pays[place[chosen]]]
+        rules.append(np.stack([pairs[pays] >> np.uint64(32), pairs[pays] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        new, gone = at[chosen], right[chosen]
+        symbols[new] = (top + np.cumsum(pays) - 1).astype(np.uint32)[place[chosen]]
+        top += len(rules[-1])
+        beyond = after[gone]
+        after[new], before[beyond], alive[gone] = beyond, new, False
+        held, left = np.zeros(n, bool), before[new]
+        held[at] = held[left[left >= 0]] = True
+        held[gone] = False
+        at = np.flatnonzero(held).astype(np.int32)
+    return symbols[alive], np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 
 
 def expansion_lengths(rules, first: int):
@@ -182,8 +219,12 @@ class Block:
         return expand(self.symbols[a : b + 1], self.rules, self.first)[start - before : stop - before]
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, first: int = 49408, block_ids: int = BLOCK_IDS) -> None:
-    """Encode every text, append ``end_id``, and write the ids in ascending doc_id order. ``first``: above all ids."""
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, first: int | None = None, block_ids: int = BLOCK_IDS) -> None:
+    """Encode every text, append ``end_id``, and write the ids in ascending doc_id order.
+
+    ``first`` is the first nonterminal, above all ids; by default the first number that the tokenizer does not use.
+    """
+    first = max(encoder(tokenizer).n_ids, end_id + 1) if first is None else first
 
     def blocks(batches: Iterator) -> Iterator:
         import numpy as np
@@ -194,7 +235,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         seq, names, parts, ends, held = 0, [], [], [], 0
 
         def row():
-            data = pack(names, ends, np.concatenate(parts), first)
+            ids = np.concatenate(parts)
+            if int(ids.max()) >= first:
+                raise ValueError(f"id {int(ids.max())} is not below the first nonterminal {first}")
+            data = pack(names, ends, ids, first)
             return pd.DataFrame({"shard": [shard], "seq": [seq], "n_docs": [len(ends)], "n_ids": [held], "block": [data]})
 
         for batch in batches:

@@ -55,6 +55,7 @@ class WordEncoder:
             and not cuts[1]["add_prefix_space"]
         )
         self._letters, self._marks, self._model = _byte_letters(), {}, self._tokenizer.model
+        self.n_ids = 1 + max(self._tokenizer.get_vocab(with_added_tokens=True).values())
         self._table = WordTable(self._encode_words, np.uint32, CACHED_WORDS)
 
     def _encode_words(self, words: list[bytes]) -> list:

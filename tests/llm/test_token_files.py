@@ -46,6 +46,34 @@ def test_blocks_round_trip_with_random_access(n, k):
         assert len(block.symbols) < n / 3
 
 
+def pair_counts(symbols):
+    keys = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
+    return np.unique(keys, return_counts=True)[1] if len(keys) else np.zeros(0, int)
+
+
+@pytest.mark.parametrize("kind", ["few ids", "copies", "near copies", "one id", "runs"])
+def test_grammar_is_complete_and_each_rule_pays(kind):
+    rng = np.random.default_rng(3)
+    few = rng.integers(0, 40, 30_000)
+    copies = np.tile(rng.integers(0, 40_000, 500), 200)
+    changed = np.where(rng.random(len(copies)) < 0.005, rng.integers(0, 40_000, len(copies)), copies)
+    runs = np.repeat(rng.integers(0, 5, 8_000), rng.integers(1, 9, 8_000))
+    ids = {"few ids": few, "copies": copies, "near copies": changed, "one id": np.zeros(100_001), "runs": runs}[kind].astype(np.uint32)
+    symbols, rules = files.compress(ids, 49408)
+    assert (files.expand(symbols, rules, 49408) == ids).all()
+    assert pair_counts(symbols).max(initial=0) < files.MIN_COUNT
+    assert len(np.unique(rules, axis=0)) == len(rules) and (rules < 49408 + np.arange(len(rules))[:, None]).all()
+    if kind == "copies":
+        # a rule of twice the length would occur less often than the least count
+        assert len(symbols) <= 40 and files.expansion_lengths(rules, 49408).max() > len(ids) / (2 * files.MIN_COUNT)
+
+
+def test_first_nonterminal(spark, documents, tokenizer):
+    assert files.encoder(PATH).n_ids == tokenizer.get_vocab_size()
+    with pytest.raises(Exception, match="first nonterminal"):
+        files.write_token_files(documents([(1, "hello world")]), scratch_path(spark, "test-tokens"), PATH, first=5)
+
+
 def test_files(spark, documents, tokenizer):
     rows = [(5, "hello world"), (3, None), (9, "a b c " * 500), (4, ""), (5, "again the same id"), (None, "no id")] + [(100 + i, f"text number {i}, é") for i in range(50)]
     path = scratch_path(spark, "test-tokens")
