@@ -90,23 +90,32 @@ def first_choices(at, after, rank):
     """
     import numpy as np
 
-    joined = after[:-1] == at[1:]
-    chosen, left = np.zeros(len(at), bool), np.arange(len(at))
+    joined = np.zeros(len(at) + 1, bool)
+    np.equal(after[:-1], at[1:], out=joined[1:-1])
+    chosen, busy, left = [], np.zeros(len(at) + 2, bool), np.arange(len(at), dtype=np.int32)
     while len(left):
-        high, beside = rank[left], joined[left[:-1]] & (np.diff(left) == 1)
+        high = rank[left]
         step = np.diff(high)
+        beside = joined[left[1:]]
+        beside &= np.diff(left) == 1
         wins = np.ones(len(left), bool)
         wins[1:] &= ~(beside & (step < 0))
         wins[:-1] &= ~(beside & (step > 0))
-        start = np.flatnonzero(np.concatenate([[True], ~beside | (step != 0)]))
-        size = np.diff(start, append=len(left))
-        whole = np.repeat(wins[start] & wins[start + size - 1], size)
-        chosen[left[whole & ((np.arange(len(left)) - np.repeat(start, size)) % 2 == 0)]] = True
-        busy = chosen.copy()
-        busy[1:] |= joined & chosen[:-1]
-        busy[:-1] |= joined & chosen[1:]
-        left = left[~busy[left]]
-    return np.flatnonzero(chosen)
+        beside &= step == 0
+        if beside.any():
+            begin = np.flatnonzero(beside & ~np.concatenate([[False], beside[:-1]]))
+            size = np.flatnonzero(beside & ~np.concatenate([beside[1:], [False]])) + 2 - begin
+            inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            whole = np.repeat(wins[begin] & wins[begin + size - 1], size)
+            wins[np.repeat(begin, size) + inside] = whole & (inside % 2 == 0)
+        new = left[wins]
+        chosen.append(new)
+        # busy is shifted by one, so that the first and the last pair have neighbours
+        busy[new + 1] = True
+        busy[new] |= joined[new]
+        busy[new + 2] |= joined[new + 1]
+        left = left[~busy[left + 1]]
+    return np.sort(np.concatenate(chosen))
 
 
 def compress(ids, first: int, least: int = MIN_COUNT):
@@ -120,12 +129,11 @@ def compress(ids, first: int, least: int = MIN_COUNT):
     n, top, rules = len(ids), first, []
     symbols, alive = ids.astype(np.uint32), np.ones(n, bool)
     after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
-    at = np.arange(n, dtype=np.int32)
+    at, right = np.arange(max(n - 1, 0), dtype=np.int32), after[:-1]
     while True:
-        right = after[at]
-        if len(at) and right[-1] == n:
-            at, right = at[:-1], right[:-1]
-        keys = (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[right]
+        keys = symbols[at].astype(np.uint64)
+        keys <<= np.uint64(32)
+        keys |= symbols[right]
         bucket = bucket_of(keys)
         likely = np.flatnonzero((np.bincount(bucket, minlength=BUCKETS) >= least)[bucket])
         pairs, rank, place = frequent_pairs(keys[likely], bucket[likely], least)
@@ -148,6 +156,9 @@ def compress(ids, first: int, least: int = MIN_COUNT):
         held[at] = held[left[left >= 0]] = True
         held[gone] = False
         at = np.flatnonzero(held).astype(np.int32)
+        right = after[at]
+        if len(at) and right[-1] == n:
+            at, right = at[:-1], right[:-1]
     return symbols[alive], np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 
 
@@ -155,15 +166,14 @@ def expansion_lengths(rules, first: int):
     """Ids that each rule stands for."""
     import numpy as np
 
-    lengths = np.ones(len(rules), np.uint32)
-    side = lambda x: lengths[x - first] if x >= first else 1
-    for k, (left, right) in enumerate(rules.tolist()):
-        lengths[k] = side(left) + side(right)
-    return lengths
+    lengths: list[int] = []
+    for left, right in rules.tolist():
+        lengths.append((lengths[left - first] if left >= first else 1) + (lengths[right - first] if right >= first else 1))
+    return np.asarray(lengths, np.uint32)
 
 
-def expand(symbols, rules, first: int):
-    """The ids of some symbols: the latest rules are opened first, one level of nonterminals at a time."""
+def open_rules(symbols, rules, first: int):
+    """The ids of some symbols, one level of nonterminals after the other."""
     import numpy as np
 
     while len(symbols) and (inner := symbols >= first).any():
@@ -177,6 +187,30 @@ def expand(symbols, rules, first: int):
     return symbols
 
 
+def expand(symbols, rules, first: int, lengths=None):
+    """The ids of some symbols: each different nonterminal among them is opened once, then copied to its places."""
+    import numpy as np
+
+    if not len(rules) or not len(symbols):
+        return symbols
+    lengths = expansion_lengths(rules, first) if lengths is None else lengths
+    inner = symbols >= first
+    rule = symbols[inner] - first
+    seen = np.zeros(len(rules), bool)
+    seen[rule] = True
+    names = np.flatnonzero(seen)
+    flat = open_rules((names + first).astype(np.uint32), rules, first)
+    begin = np.zeros(len(rules), np.int64)
+    begin[names] = np.cumsum(lengths[names], dtype=np.int64) - lengths[names]
+    # plain ids follow the opened rules, so that one gather fills the result
+    size, source = np.ones(len(symbols), np.int64), np.empty(len(symbols), np.int64)
+    size[inner], source[inner] = lengths[rule], begin[rule]
+    source[~inner] = len(flat) + np.arange(len(symbols) - len(rule))
+    source -= np.cumsum(size) - size
+    everything = np.concatenate([flat, symbols[~inner]])
+    return everything[np.repeat(source, size) + np.arange(int(size.sum()))]
+
+
 def pack(doc_ids, ends, ids, first: int) -> bytes:
     """One block."""
     import numpy as np
@@ -201,11 +235,11 @@ class Block:
         self.doc_ids, at = np.frombuffer(data, "<i8", d, at), at + 8 * d
         self.ends, at = np.frombuffer(data, "<u8", d, at).astype(np.int64), at + 8 * d
         self.rules, at = np.frombuffer(data, "<u4", 2 * r, at).reshape(r, 2), at + 8 * r
-        lengths, at = np.frombuffer(data, "<u4", r, at), at + 4 * r
+        self.lengths, at = np.frombuffer(data, "<u4", r, at), at + 4 * r
         self.symbols = np.frombuffer(data, f"<u{width}", n, at).astype(np.uint32)
         size = np.ones(n, np.int64)
         inner = self.symbols >= self.first
-        size[inner] = lengths[self.symbols[inner] - self.first]
+        size[inner] = self.lengths[self.symbols[inner] - self.first]
         self.upto = np.cumsum(size)
 
     def read_ids(self, start: int, stop: int):
@@ -216,7 +250,7 @@ class Block:
             return np.zeros(0, np.uint32)
         a, b = np.searchsorted(self.upto, [start, stop - 1], side="right")
         before = int(self.upto[a - 1]) if a else 0
-        return expand(self.symbols[a : b + 1], self.rules, self.first)[start - before : stop - before]
+        return expand(self.symbols[a : b + 1], self.rules, self.first, self.lengths)[start - before : stop - before]
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, first: int | None = None, block_ids: int = BLOCK_IDS) -> None:
