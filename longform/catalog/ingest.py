@@ -11,7 +11,7 @@ from longform.catalog import inputs as I
 from longform.catalog.registry import query, table
 from longform.functions.names import logical_file_name, vendor_of
 from longform.operators import cells as C, checks, header as H, provenance, reports
-from longform.plans.bronze import Landing, land_long, land_wide
+from longform.plans.bronze import Landing, append_wide, land_long, land_wide
 from longform.plans.parse_warnings import parse_warnings as warnings_of
 from longform.sources import tables as S
 from longform.sources.csv_lines import read_grid
@@ -198,6 +198,17 @@ def detect_header_peek(spark, sf_dir):
     return _shown_header(H.detect_header(I.order_grid(spark, sf_dir), 5, peek=10))
 
 
+LATE_FILES = ("1-URGENT", "5-LOW")
+
+
+@query("detect_header_beyond_peek", f"SELECT * FROM ({HEADER_SQL}) WHERE file_id NOT IN {LATE_FILES}")
+def detect_header_beyond_peek(spark, sf_dir):
+    """Two files begin with twelve more lines, so their headers lie beyond the peek and are not found."""
+    grid = I.order_grid(spark, sf_dir)
+    late = F.when(F.col("file_id").isin(*LATE_FILES), F.col("line_no") + 12).otherwise(F.col("line_no"))
+    return _shown_header(H.detect_header(grid.withColumn("line_no", late), 5, peek=10))
+
+
 ARGMAX_SQL = f"""WITH grid AS (
   SELECT o_orderpriority AS file_id, o_orderkey + 3 AS line_no,
          CASE WHEN o_orderkey % 7 = 0 THEN 5 ELSE 7 END - CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS n,
@@ -376,9 +387,7 @@ def file_defects(spark, sf_dir):
     return checks.file_defects(headers.withColumn("file_id", F.col("file_name"))).withColumnRenamed("file_id", "file_name")
 
 
-@query(
-    "ingest_wide",
-    f"""WITH {I.FILES_SQL}
+WIDE_SQL = f"""WITH {I.FILES_SQL}
 SELECT 'vendor_a' AS vendor_id, file_name, row_index, v_key AS key, v_name AS name, v_nation AS nation,
        v_balance AS balance, v_segment AS segment FROM a_rows WHERE k % 10 <> 9
 UNION ALL
@@ -387,13 +396,24 @@ FROM b_rows WHERE k % 10 <> 9
 UNION ALL
 SELECT 'vendor_a', file_name, row_index - 1, NULL, NULL, NULL, NULL, NULL FROM a_rows WHERE k % 10 = 9 AND row_index > 1
 UNION ALL
-SELECT 'vendor_b', file_name, row_index - 1, NULL, NULL, NULL, NULL, NULL FROM b_rows WHERE k % 10 = 9 AND row_index > 1""",
-)
+SELECT 'vendor_b', file_name, row_index - 1, NULL, NULL, NULL, NULL, NULL FROM b_rows WHERE k % 10 = 9 AND row_index > 1"""
+
+
+@query("ingest_wide", WIDE_SQL)
 def ingest_wide(spark, sf_dir):
     """In a file without a header the fullest row is taken for one, as the wide path's rule says."""
     return land_wide(spark, I.messy_files(spark, sf_dir), SUPERSET, I.RENAMES)
 
 
+@query("append_wide", WIDE_SQL)
+def append_wide_loads(spark, sf_dir):
+    """Vendor B's files start a named table without ``segment``; vendor A's are appended to it and bring that column."""
+    path, name = I.messy_files(spark, sf_dir), f"longform_wide_{uuid.uuid4().hex}"
+    for vendor, columns in (("vendor_b", SUPERSET[:4]), ("vendor_a", SUPERSET)):
+        append_wide(spark, f"{path}/file={vendor}_*", name, columns, I.RENAMES)
+    return spark.table(name)
+
+
 @query("incremental_files", f"WITH {I.FILE_CELLS_SQL}\nSELECT {CELL_FIELDS} FROM file_cells")
 def incremental_files(spark, sf_dir):
     """Vendor A lands in a first run of the stream, vendor B in a second one."""

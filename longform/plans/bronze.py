@@ -21,6 +21,7 @@ from longform.operators.cells import explode_cells
 from longform.operators.header import detect_header_argmax, named_columns, threshold_by_vendor
 from longform.sources.csv_lines import NO_HEADER, RecordScan, empty_files, scan_lines, scan_records
 from longform.sources.storage import settle
+from longform.sources.tables import append_table
 
 
 @dataclass(frozen=True)
@@ -32,6 +33,14 @@ class Landing:
     errors: DataFrame
 
 
+@dataclass(frozen=True)
+class WideLanding:
+    """Wide rows of every readable file, and the files that failed, both from one scan's summaries."""
+
+    rows: DataFrame
+    errors: DataFrame
+
+
 def threshold_of(threshold: int | Mapping[str, int], default: int, prefixes: Mapping[str, str]) -> Column | int:
     """The threshold as it is, or as a column over ``file_id`` if it differs by vendor."""
     if isinstance(threshold, int):
@@ -126,7 +135,7 @@ def wide_positions(
     return headers.withColumn("clean", clean).withColumn("positions", F.array(*places)).drop("clean", "columns")
 
 
-def land_wide(
+def land_wide_files(
     spark: SparkSession,
     path: str | list[str],
     superset: Sequence[str],
@@ -135,17 +144,41 @@ def land_wide(
     peek: int = 10,
     threshold: int | None = None,
     prefixes: Mapping[str, str] = VENDOR_PREFIXES,
-) -> DataFrame:
-    """Every CSV file below ``path`` as wide rows over a declared superset of columns.
+) -> WideLanding:
+    """Every CSV file below ``path`` as wide rows over a declared superset of columns, and the files that do not land.
 
     The header is the row with the most filled cells among the first ``peek``, which
     takes a scan of its own; with ``threshold`` it is the first row with that many,
     found in the scan that numbers the lines. A column that is empty throughout needs
-    no removal: it is null either way. ``wide_errors`` tells which files are missing.
+    no removal: it is null either way. Headers are stored once, for the rows and for ``errors``.
     """
     scan, headers = _wide_headers(spark, path, dialect, peek, threshold, prefixes)
     placed = settle(wide_positions(headers, superset, renames), "wide-positions")
-    return wide_rows(body_rows(scan, placed.df, dialect, placed.fits), superset)
+    rows = wide_rows(body_rows(scan, placed.df, dialect, placed.fits), superset)
+    return WideLanding(rows, _wide_errors(spark, path, scan, placed.df))
+
+
+def land_wide(spark: SparkSession, path: str | list[str], superset: Sequence[str], renames: Mapping[str, Mapping[str, str]], **options) -> DataFrame:
+    """The rows of ``land_wide_files``."""
+    return land_wide_files(spark, path, superset, renames, **options).rows
+
+
+def append_wide(
+    spark: SparkSession,
+    path: str | list[str],
+    table: str,
+    superset: Sequence[str],
+    renames: Mapping[str, Mapping[str, str]],
+    **options,
+) -> DataFrame:
+    """Land the files and append their rows to a named table, in one job; returns the files that did not land.
+
+    Columns that the table lacks are added to it, null in its old rows, and columns of the table that this superset lacks
+    are null in the new ones. A column of another type is refused before anything is written.
+    """
+    landing = land_wide_files(spark, path, superset, renames, **options)
+    append_table(landing.rows, table, merge_schema=True)
+    return landing.errors
 
 
 def wide_errors(
@@ -156,8 +189,12 @@ def wide_errors(
     threshold: int | None = None,
     prefixes: Mapping[str, str] = VENDOR_PREFIXES,
 ) -> DataFrame:
-    """file_id, file_name, error of the files that ``land_wide`` with the same arguments cannot land, or not as they should be."""
+    """file_id, file_name, error of the files that cannot be landed wide, or not as they should be; without their rows."""
     scan, headers = _wide_headers(spark, path, dialect, peek, threshold, prefixes)
+    return _wide_errors(spark, path, scan, settle(headers, "wide-headers").df)
+
+
+def _wide_errors(spark: SparkSession, path: str | list[str], scan: RecordScan, headers: DataFrame) -> DataFrame:
     found = headers.select("file_id", F.lit(True).alias("found"))
     files = scan.files.join(found, "file_id", "left")
     error = F.when(F.col("found").isNull(), F.lit(NO_HEADER)).otherwise(F.col("error"))

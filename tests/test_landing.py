@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from brute import parse
 from longform.functions.dialect import CsvDialect
 from longform.operators.cells import BRONZE_SCHEMA, conform_bronze
-from longform.plans.bronze import land_long, land_wide, wide_errors
+from longform.plans.bronze import append_wide, land_long, land_wide, land_wide_files, wide_errors
 from longform.sources.csv_lines import read_grid
 from longform.sources.reference_data import VENDOR_B_RENAMES
 
@@ -301,3 +301,26 @@ def test_wide_files_that_do_not_land_are_told(spark, tmp_path):
     none = ("vendor_a_none.csv", "File is empty.")
     assert told() == {("vendor_a_blank.csv", "Could not find header row."), none}
     assert told(threshold=4) == {(f"vendor_a_{n}.csv", "Could not find header row.") for n in ("good", "blank")} | {none}
+
+
+def test_wide_rows_and_errors_of_one_landing(spark, tmp_path):
+    put(tmp_path, "vendor_a 1.csv", "a,b\n1,2\n")
+    put(tmp_path, "none.csv", "\n\n")
+    put(tmp_path, "empty.csv", "")
+    put(tmp_path, "open.csv", 'a,b\n3,"4\n')
+    landing = land_wide_files(spark, str(tmp_path), ["a", "b"], {})
+    assert sorted((r.file_name, r.a) for r in landing.rows.collect()) == [("open.csv", "3"), ("vendor_a 1.csv", "1")]
+    told = {(r.file_id, r.error) for r in landing.errors.collect()}
+    assert told == {(r.file_id, r.error) for r in wide_errors(spark, str(tmp_path)).collect()} and len(told) == 3
+
+
+def test_wide_loads_appended_to_a_table(spark, tmp_path):
+    put(tmp_path / "one", "a.csv", "a,b\n1,2\n")
+    put(tmp_path / "two", "b.csv", "b,c\n5,6\n")
+    put(tmp_path / "two", "none.csv", "\n")
+    name = "longform_wide_test_" + tmp_path.name.replace("-", "_")
+    assert append_wide(spark, str(tmp_path / "one"), name, ["a", "b"], {}).isEmpty()
+    errors = append_wide(spark, str(tmp_path / "two"), name, ["b", "c"], {})
+    assert errors.count() == 1
+    assert sorted(map(str, ((r.a, r.b, r.c) for r in spark.table(name).collect()))) == ["('1', '2', None)", "(None, '5', '6')"]
+    spark.sql(f"DROP TABLE {name}")
