@@ -52,7 +52,8 @@ def _clean(text: Column) -> Column:
 
 
 def _template(clean: Column) -> Column:
-    text = F.regexp_replace(clean, rf"{NAME}[^ ]+(?: {NAME}[^ ]+)*", NAME)
+    # possessive: else each name of a run takes frames of the thread's stack
+    text = F.regexp_replace(clean, rf"{NAME}[^ ]++(?: {NAME}[^ ]++)*+", NAME)
     text = F.regexp_replace(text, r"(?<![^ ])[0-9][0-9.,:/]*", NUMBER)
     text = F.lower(text)
     return F.regexp_replace(text, rf"(?<={NUMBER} )(?:{'|'.join(UNITS)})(?= |$)", UNIT)

@@ -104,6 +104,13 @@ def test_items_without_or_with_shared_ids(spark, documents):
     assert got == {(i, j, "verbatim") for i in (1, 2, None) for j in (None, 4)}
 
 
+def test_long_runs_of_names(spark, documents):
+    """One run is one placeholder, however many names it has."""
+    names = " ".join(["Ann", "Berta", "Émile"] * 50_000)
+    rows = [(1, f"{names} and {ITEM}"), (2, ITEM.replace("Anna", names)), (3, names), (4, f"{names}, {names.lower()}")]
+    assert found(spark, documents, rows, [(1, ITEM)]) == {(1, 1, "verbatim"), (2, 1, "reparameterised")}
+
+
 # -- brute force -----------------------------------------------------------------
 
 VOCABULARY = [f"{a}{b}{c}" for a in "bdgklmnprst" for b in "aeiou" for c in ("", "n", "r", "st")]
