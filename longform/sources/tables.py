@@ -5,8 +5,14 @@ The table format is a parameter: ``parquet`` everywhere, ``delta`` where it is i
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+#: Folders that a task keeps open at once; rows of any further ones are sorted by Spark, which spills.
+OPEN_FOLDERS = 8
+
 
 def read_csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """CSV with a header, every column text."""
@@ -23,6 +29,24 @@ def write_csv(df: DataFrame, path: str, header: bool = True, single_file: bool =
     (df.repartition(1) if single_file else df).write.mode("overwrite").option("header", header).csv(path)
 
 
+@contextmanager
+def unsorted_writes(spark: SparkSession) -> Iterator[None]:
+    """Rows of a partitioned table go to the files of their folders as they come.
+
+    By default Spark sorts all rows of a task by folder first, so that the task's memory grows with its input. An
+    option that the session has set stays.
+    """
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, str(OPEN_FOLDERS))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def overwrite_table(
     df: DataFrame, table: str, format: str = "parquet", partition_by: tuple[str, ...] = (), path: str | None = None
 ) -> None:
@@ -32,7 +56,8 @@ def overwrite_table(
         writer = writer.partitionBy(*partition_by)
     if path:
         writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    with unsorted_writes(df.sparkSession):
+        writer.saveAsTable(table)
 
 
 def append_table(df: DataFrame, table: str, format: str = "parquet", merge_schema: bool = False) -> None:

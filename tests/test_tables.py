@@ -1,4 +1,7 @@
+import json
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -161,3 +164,41 @@ def test_append_to_a_table(spark):
     S.append_table(spark.createDataFrame([(3, 1.0)], "k bigint, w double"), name, merge_schema=True)
     assert sorted(tuple(r) for r in spark.table(name).select("k", "v", "w").collect()) == [(1, "a", None), (2, "b", None), (3, None, 1.0)]
     spark.sql(f"DROP TABLE {name}")
+
+
+PARTITIONED = """
+import sys
+from pyspark.sql import SparkSession, functions as F
+from longform.sources.tables import overwrite_table
+base = sys.argv[1]
+options = {"eventLog.enabled": "true", "eventLog.dir": base + "/log", "eventLog.rolling.enabled": "false", "eventLog.compress": "false", "ui.enabled": "false", "sql.warehouse.dir": base + "/warehouse"}
+builder = SparkSession.builder.master("local[2]")
+for key, value in options.items():
+    builder = builder.config("spark." + key, value)
+spark = builder.getOrCreate()
+rows = spark.range(400000).select("id", F.when(F.col("id") % 3 > 0, F.concat(F.lit("v"), (F.col("id") % 3).cast("string"))).alias("vendor"))
+overwrite_table(rows, "cells", partition_by=("vendor",), path=base + "/table")
+assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) is None
+got = {r.vendor: (r.n, r.s) for r in spark.table("cells").groupBy("vendor").agg(F.count("*").alias("n"), F.sum("id").alias("s")).collect()}
+ids = {None: range(0, 400000, 3), "v1": range(1, 400000, 3), "v2": range(2, 400000, 3)}
+assert got == {v: (len(r), sum(r)) for v, r in ids.items()}
+many = rows.withColumn("vendor", F.col("id") % 100)
+overwrite_table(many, "more", partition_by=("vendor",), path=base + "/more")
+got = {r.vendor: r.s for r in spark.table("more").groupBy("vendor").agg(F.sum("id").alias("s")).collect()}
+assert got == {v: sum(range(v, 400000, 100)) for v in range(100)}
+spark.stop()
+"""
+
+
+def test_partitioned_writes_hold_no_rows(tmp_path):
+    """The tasks that write a few folders need no memory for sorting, however many rows they have; any number of folders is whole."""
+    (tmp_path / "log").mkdir()
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "PYTHONPATH": os.pathsep.join([root, os.environ.get("PYTHONPATH", "")])}
+    subprocess.run([sys.executable, "-c", PARTITIONED, str(tmp_path)], cwd=tmp_path, env=env, check=True)
+    peaks = {}
+    for log in (tmp_path / "log").iterdir():
+        for event in map(json.loads, log.read_text().splitlines()):
+            if event["Event"] == "SparkListenerTaskEnd":
+                peaks.setdefault(event["Stage ID"], []).append(event["Task Metrics"]["Peak Execution Memory"])
+    assert peaks and max(peaks[min(peaks)]) < 1 << 16
