@@ -4,7 +4,7 @@ quality          byte-level convolutional classifier, trained on ``labels.qualit
 near_duplicates  MinHash with Bayesian verification (five words, similarity of 0.8 or more); one document of each group stays
 decontaminate    documents that hold an item of ``benchmark``, verbatim or re-parameterised, go
 pii              personal data and the terms that disclose it are masked in ``text``
-encode           best segmentation into pieces of a SentencePiece vocabulary
+encode           the four best segmentations into pieces of a SentencePiece vocabulary, with the ids of the best
 
 Each stage works on all that its predecessor kept. All but the last return the columns of ``documents``.
 SQL can express neither the network nor the segmentation, so there is no SQL for the whole.
@@ -41,7 +41,7 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return nbest.segmentations(docs, tokenizer_file("piece_bpe_32k.model"), n=1, with_ids=True)
+    return nbest.segmentations(docs, tokenizer_file("piece_bpe_32k.model"), n=4, with_ids=True)
 
 
 #: Stages in order: name, function(spark, docs, sf_dir) -> DataFrame.

@@ -8,7 +8,8 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from longform.llm.queries import QUERIES
+from longform.llm import nbest
+from longform.llm.queries import QUERIES, tokenizer_file
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no supplied tables")
@@ -37,6 +38,19 @@ def test_stages_on_awkward_rows(spark, awkward, nothing):
             docs = corpus_pipeline.store(stage(spark, docs, SF), f"awkward-{name}")
 
 
+def test_encode_searches_alternatives(spark, documents):
+    """The last stage gives four segmentations, of which the best is that of one alone."""
+    docs = documents([(1, "unbelievable segmentation of words"), (2, "a"), (3, "the cat sat\non the mat"), (4, ""), (5, None)])
+    name, encode = corpus_pipeline.STAGES[-1]
+    rows = {r.doc_id: r for r in encode(spark, docs, SF).collect()}
+    assert name == "encode" and len(rows) == 5
+    assert [len(rows[i].nbest_scores) for i in (1, 3, 4, 5)] == [4, 4, 1, 1]
+    alone = nbest.segmentations(docs, tokenizer_file("piece_bpe_32k.model"), n=1, with_ids=True).collect()
+    assert {i: (r.ids, r.score, r.ids_crc32) for i, r in rows.items()} == {r.doc_id: (r.ids, r.score, r.ids_crc32) for r in alone}
+    for row in rows.values():
+        assert row.nbest_scores == sorted(row.nbest_scores, reverse=True) and len(set(row.nbest_crc32)) == len(row.nbest_crc32)
+
+
 def test_registered():
     names = sorted(QUERIES)
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
