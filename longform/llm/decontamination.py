@@ -47,20 +47,22 @@ def _clean(text: Column) -> Column:
     marks = NAME + NUMBER + UNIT
     text = F.when(text.rlike(f"[{marks}]"), F.translate(text, marks, "   ")).otherwise(text)
     text = F.regexp_replace(text, r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{N}])", NAME)
-    text = F.regexp_replace(text, rf"(?<![0-9])[.,:/]|[.,:/](?![0-9])|[^\p{{L}}\p{{N}}{NAME}.,:/]+", " ")
-    return F.btrim(F.regexp_replace(text, r"(?<=[0-9])(?=\p{L})| {2,}", " "))
+    # possessive, as below; what can be told from one character comes before what looks back
+    apart = rf"[^\p{{L}}\p{{N}}{NAME}.,:/]|[.,:/](?:(?![0-9])|(?<![0-9][.,:/]))"
+    text = F.regexp_replace(text, rf"(?:{apart})++", " ")
+    return F.btrim(F.regexp_replace(text, r"[0-9](?=\p{L})", "$0 "))
 
 
 def _template(clean: Column) -> Column:
     # possessive: else each name of a run takes frames of the thread's stack
     text = F.regexp_replace(clean, rf"{NAME}[^ ]++(?: {NAME}[^ ]++)*+", NAME)
-    text = F.regexp_replace(text, r"(?<![^ ])[0-9][0-9.,:/]*", NUMBER)
+    text = F.regexp_replace(text, r"[0-9](?<![^ ][0-9])[0-9.,:/]*", NUMBER)
     text = F.lower(text)
-    return F.regexp_replace(text, rf"(?<={NUMBER} )(?:{'|'.join(UNITS)})(?= |$)", UNIT)
+    return F.regexp_replace(text, rf"{NUMBER} (?:{'|'.join(UNITS)})(?= |$)", f"{NUMBER} {UNIT}")
 
 
 def _split(text: Column) -> Column:
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " +"))
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
 
 
 def templates(table: DataFrame, *keys: str, values: bool) -> DataFrame:
@@ -80,6 +82,15 @@ def _windows(size: int) -> Column:
     return F.when(F.size(t) >= size, hashed).otherwise(F.array().cast("array<bigint>"))
 
 
+def _window_rows(table: DataFrame, key: str, sizes: list[int]) -> DataFrame:
+    """key and hash, a row for each window of the sizes: places are exploded, not hashes, so that hashing is compiled with the join that follows."""
+    t, n, at = F.col("template"), F.col("size"), F.col("at")
+    table = table.withColumn("size", F.explode(F.array(*map(F.lit, sizes))) if len(sizes) > 1 else F.lit(sizes[0]))
+    table = table.withColumn("at", F.explode(F.when(F.size(t) >= n, F.sequence(F.lit(0), F.size(t) - n)).otherwise(F.array().cast("array<int>"))))
+    hashed = [F.when(n == size, F.xxhash64(F.lit(size), *[t[at + k] for k in range(size)])) for size in sizes]
+    return table.select(key, F.coalesce(*hashed).alias("hash"))
+
+
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """asked (item and form), item_id, hash, at, size, n_windows, and the template and words of the window."""
     named = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -113,8 +124,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if not sizes:
         return docs.sparkSession.createDataFrame([], "name string, item_id long, n_windows long, n_item_windows long, n_slots long, n_changed long, kind string")
     named = docs.where("text IS NOT NULL").select(F.md5(F.col("text").cast("binary")).alias("name"), "text")
-    windows = F.concat(*[_windows(n) for n in sizes]) if len(sizes) > 1 else _windows(sizes[0])
-    each = templates(named, "name", values=False).select("name", F.explode(windows).alias("hash"))
+    each = _window_rows(templates(named, "name", values=False), "name", sizes)
     wanted = table.df.select("hash").distinct()
     found = join_small(each, wanted, ["hash"], "left_semi", spread=["name"], fits=table.fits).select("name").distinct()
     found = settle(found, "matching-texts")

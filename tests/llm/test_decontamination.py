@@ -3,6 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from longform.llm import decontamination
 from longform.llm.decontamination import contaminated_documents, decontaminate
 
 ITEM = "Tom has 12 apples and gives 5 apples to Anna every day, how many apples are left?"
@@ -111,6 +112,37 @@ def test_long_runs_of_names(spark, documents):
     assert found(spark, documents, rows, [(1, ITEM)]) == {(1, 1, "verbatim"), (2, 1, "reparameterised")}
 
 
+def test_long_runs_of_separators(spark, documents):
+    rows = [(1, " .,:/-\n" * 50_000 + ITEM), (2, ITEM.replace(" apples", "." * 100_000 + "apples")), (3, ":" * 100_000), (4, "1." * 100_000)]
+    assert found(spark, documents, rows, [(1, ITEM)]) == {(1, 1, "verbatim"), (2, 1, "verbatim")}
+
+
+def test_words_are_cut_as_by_separate_steps(spark):
+    """One expression cuts the words; here its parts one after another, on every short mix of the characters that matter."""
+    name, rng = decontamination.NAME, random.Random(5)
+    texts = ["".join(rng.choice("aZz07.,:/ -\n\u00e9\U00010400\U0001f600_") for _ in range(rng.randint(1, 14))) for _ in range(5000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    steps = F.regexp_replace("text", r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{N}])", name)
+    steps = F.regexp_replace(steps, rf"(?<![0-9])[.,:/]|[.,:/](?![0-9])|[^\p{{L}}\p{{N}}{name}.,:/]+", " ")
+    steps = F.btrim(F.regexp_replace(steps, r"(?<=[0-9])(?=\p{L})| {2,}", " "))
+    numbers = F.regexp_replace(F.regexp_replace(steps, rf"{name}[^ ]++(?: {name}[^ ]++)*+", name), r"(?<![^ ])[0-9][0-9.,:/]*", decontamination.NUMBER)
+    clean = decontamination._clean(F.col("text"))
+    got = rows.select("text", clean.alias("clean"), steps.alias("steps"), decontamination._template(clean).alias("t"), F.lower(numbers).alias("n")).collect()
+    assert [r for r in got if r.clean != r.steps or r.t != r.n] == []
+
+
+def test_windows_are_compiled(spark, documents):
+    """A row for each window of a text, whatever the sizes; no function on arrays that Spark interprets."""
+    rows = documents([(1, "a b c d e f g h i j a b c d e f g h"), (2, "a b"), (3, ""), (4, "a b c d e f g h i"), (4, "a b c d e f g h i")])
+    table = decontamination.templates(rows, "doc_id", values=False)
+    for sizes in ([8], [2, 8], [1, 3, 9]):
+        got = decontamination._window_rows(table, "doc_id", sizes)
+        want = table.select("doc_id", F.explode(F.concat(*map(decontamination._windows, sizes))).alias("hash"))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        assert "lambda" not in got._jdf.queryExecution().executedPlan().toString()
+        assert "lambda" in want._jdf.queryExecution().executedPlan().toString()
+
+
 # -- brute force -----------------------------------------------------------------
 
 VOCABULARY = [f"{a}{b}{c}" for a in "bdgklmnprst" for b in "aeiou" for c in ("", "n", "r", "st")]
