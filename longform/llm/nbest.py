@@ -15,7 +15,7 @@ parts with the cheapest changes (a tie goes to the earlier part): A* runs on tho
 vocabulary that has pieces across blanks gets one lattice for each text.
 
 Forward and backward passes run over many parts at a time, as arrays; a task remembers the parts
-it has seen in a table of bounded size, and the batch of texts at hand.
+it has seen in a table of bounded size, and of the texts at hand the numbers of their parts.
 
 Null and empty texts have no pieces, score 0 and one (empty) segmentation. Decoding gives back
 the text, except that the blank mark U+2581 in a text becomes a blank, as in the library.
@@ -24,11 +24,13 @@ Repeated rows give repeated results; empty tables give empty ones.
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -42,10 +44,20 @@ SLOTS = 1 << 18
 #: Parts remembered by a task, and characters of a part that still goes through the arrays.
 REMEMBERED = 300_000
 ARRAY_CHARS = 48
-PARTS_AT_ONCE = 1024
+PARTS_AT_ONCE, CHARS_AT_ONCE = 1024, 1 << 14
+#: Characters of the texts that are in hand at a time.
+TEXT_CHARS = 500_000
 LOW = -1e30
 
 
+class _Numbers(dict):
+    """A number for each different key, in order of arrival."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        return number
+
+
 class Lattice:
     """Pieces and scores of a model, and searches over the lattices of texts."""
 
@@ -65,7 +77,7 @@ class Lattice:
         self.splits = not any(re.search(f"[^{BLANK}]{BLANK}", p) or ("\n" in p and len(p) > 1) for p in self.id_of)
         self.raw = [bytes([int(p[3:5], 16)]) if i in set(self.byte_id.values()) else p.encode() for i, p in enumerate(self.piece)]
         self._fill_slots()
-        self._known: dict[str, int] = {}
+        self._known = _Numbers()
         self._forget()
 
     # -- pieces by hash -------------------------------------------------------------
@@ -146,8 +158,9 @@ class Lattice:
 
     def _forget(self) -> None:
         self._known.clear()
+        self._names: list[str] = []
         self._best, self._gap = np.zeros(0), np.zeros(0)
-        self._size, self._at, self._ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self._size, self._at, self._ids = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def _solve(self, parts: list[str]):
         """Best score, cost of the cheapest change, and ids of parts of at most ARRAY_CHARS characters."""
@@ -210,23 +223,51 @@ class Lattice:
             row, ids = np.repeat(row, [len(x) for x in spread]), np.array([i for x in spread for i in x], np.int32)
         return best, gap, np.bincount(row, minlength=n), ids
 
-    def _learn(self, parts: list[str]) -> None:
-        parts = sorted(parts, key=len)
+    def _learn(self) -> None:
+        """Solve the parts that have a number and no entry yet."""
+        start = len(self._names)
+        self._names += islice(self._known, start, None)
+        new = len(self._names) - start
+        if not new:
+            return
+        order = sorted(range(start, start + new), key=lambda i: len(self._names[i]))
+        parts = [self._names[i] for i in order]
         done = []
-        short = [p for p in parts if len(p) <= ARRAY_CHARS]
-        for a in range(0, len(short), PARTS_AT_ONCE):
-            done.append(self._solve(short[a : a + PARTS_AT_ONCE]))
-        for part in parts[len(short) :]:
+        short = bisect.bisect_right(parts, ARRAY_CHARS, key=len)
+        a = 0
+        while a < short:
+            stop = min(a + PARTS_AT_ONCE, short)
+            stop = min(stop, a + CHARS_AT_ONCE // len(parts[stop - 1]))
+            done.append(self._solve(parts[a:stop]))
+            a = stop
+        for part in parts[short:]:
             two = self.search(part, 2)
             gap = two[0][0] - two[1][0] if len(two) > 1 else np.inf
             done.append(([two[0][0]], [gap], [len(two[0][1])], np.array(two[0][1], np.int32)))
-        start = len(self._known)
-        self._known.update(zip(parts, range(start, start + len(parts)), strict=True))
-        self._best = np.concatenate([self._best, *[d[0] for d in done]])
-        self._gap = np.concatenate([self._gap, *[d[1] for d in done]])
-        self._size = np.concatenate([self._size, *[d[2] for d in done]]).astype(np.int64)
+        place = np.empty(new, np.int64)
+        place[np.array(order) - start] = np.arange(new)
+        size = np.concatenate([d[2] for d in done]).astype(np.int32)
+        at = len(self._ids) + np.cumsum(size, dtype=np.int64) - size
+        self._best = np.concatenate([self._best, np.concatenate([d[0] for d in done])[place]])
+        self._gap = np.concatenate([self._gap, np.concatenate([d[1] for d in done])[place]])
+        self._size = np.concatenate([self._size, size[place]])
+        self._at = np.concatenate([self._at, at[place]])
         self._ids = np.concatenate([self._ids, *[d[3] for d in done]])
-        self._at = np.cumsum(self._size) - self._size
+
+    def _number(self, texts: list) -> list[np.ndarray]:
+        """The numbers of each text's parts, all of them solved. The parts themselves are let go text by text."""
+        for again in (False, True):
+            out, number = [], self._known.__getitem__
+            for text in texts:
+                parts = self.parts(text) if isinstance(text, str) else ()
+                out.append(np.fromiter(map(number, parts), np.int32, len(parts)))
+                if not again and len(self._known) > REMEMBERED:
+                    break
+            else:
+                break
+            self._forget()
+        self._learn()
+        return out
 
     def parts(self, text: str) -> list[str]:
         if not text:
@@ -236,16 +277,8 @@ class Lattice:
 
     def segment(self, texts: list, n: int) -> Iterator[list[tuple[float, np.ndarray]]]:
         """For each text its n best segmentations (score, ids), best first; fewer if there are not so many."""
-        split = [self.parts(t) if isinstance(t, str) else [] for t in texts]
-        new = set().union(*split).difference(self._known) if split else set()
-        if len(self._known) + len(new) > REMEMBERED:
-            self._forget()
-            new = set().union(*split)
-        if new:
-            self._learn(list(new))
-        searched: dict[str, list] = {}
-        for parts in split:
-            where = np.fromiter(map(self._known.__getitem__, parts), np.int64, len(parts))
+        searched: dict[int, list] = {}
+        for where in self._number(texts):
             size = self._size[where]
             upto = np.cumsum(size)
             ids = self._ids[np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(self._at[where] - (upto - size), size)]
@@ -255,19 +288,20 @@ class Lattice:
                 cheap = np.argsort(gap, kind="stable")[: n - 1] if len(gap) < 64 else self._cheapest(gap, n - 1)
                 paths: list[tuple[float, tuple]] = [(0.0, ())]
                 for c in cheap[np.isfinite(gap[cheap])].tolist():
-                    if parts[c] not in searched:
+                    k = int(where[c])
+                    if k not in searched:
                         own = ids[upto[c] - size[c] : upto[c]].tolist()
-                        found = self.search(parts[c], n)
+                        found = self.search(self._names[k], n)
                         # paths of equal score: the one already taken comes first
-                        searched[parts[c]] = [(found[0][0], own), *[x for x in found if x[1] != own][: n - 1]]
-                    other = searched[parts[c]]
+                        searched[k] = [(found[0][0], own), *[x for x in found if x[1] != own][: n - 1]]
+                    other = searched[k]
                     paths = heapq.nsmallest(
                         n, [(cost + other[0][0] - s, (*path, (c, r)) if r else path) for cost, path in paths for r, (s, _) in enumerate(other)]
                     )
                 for cost, path in paths[1:]:
                     cut, last = [], 0
                     for c, r in sorted(path):
-                        cut += [ids[last : upto[c] - size[c]], np.array(searched[parts[c]][r][1], np.int32)]
+                        cut += [ids[last : upto[c] - size[c]], np.array(searched[int(where[c])][r][1], np.int32)]
                         last = upto[c]
                     out.append((score - cost, np.concatenate([*cut, ids[last:]])))
             yield out
@@ -290,43 +324,55 @@ def lattice(model_file: str) -> Lattice:
     return Lattice(model_file)
 
 
-def _slices(texts: list, chars: int = 2_000_000) -> Iterator[slice]:
+def _slices(sizes: list, chars: int = TEXT_CHARS) -> Iterator[slice]:
     start = held = 0
-    for i, text in enumerate(texts):
-        held += len(text) if isinstance(text, str) else 0
+    for i, size in enumerate(sizes):
+        held += size or 0
         if held >= chars:
             yield slice(start, i + 1)
             start, held = i + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+    if start < len(sizes):
+        yield slice(start, len(sizes))
 
 
 def segmentations(docs: DataFrame, model_file: str, n: int = 4, with_ids: bool = False) -> DataFrame:
     """doc_id, n_pieces, score, ids_crc32 and round_trip of the best segmentation; scores and piece counts of the n best.
 
-    ``with_ids`` adds the ids of the best one. Nothing is shuffled.
+    ``with_ids`` adds the ids of the best one. Nothing is shuffled. A task holds a batch of rows as it comes from Spark, and
+    the texts, parts and results of ``TEXT_CHARS`` characters (or of one longer text) of it.
     """
     ship(docs.sparkSession)
     schema = "doc_id long, n_pieces long, score double, ids_crc32 long, round_trip boolean, nbest_scores array<double>, nbest_pieces array<long>, nbest_crc32 array<long>"
 
     def encode(batches: Iterator) -> Iterator:
-        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def lists(values: list, kind) -> pa.ListArray:
+            ends = np.cumsum([0, *map(len, values)], dtype=np.int32)
+            flat = np.concatenate([np.zeros(0, kind), *values]).astype(kind, copy=False)
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
         model = lattice(model_file)
         enter("nbest", model._forget)
         for batch in batches:
-            names, texts = batch["doc_id"].tolist(), batch["text"].tolist()
-            for part in _slices(texts):
-                rows = []
-                for name, text, found in zip(names[part], texts[part], model.segment(texts[part], n), strict=True):
-                    text = text if isinstance(text, str) else ""
-                    sums = [zlib.crc32(ids.astype("<u4").tobytes()) for _, ids in found]
-                    score, ids = found[0]
-                    row = [name, len(ids), score, sums[0], model.decode(ids.tolist()) == text.replace(BLANK, " "), [s for s, _ in found], [len(x) for _, x in found], sums]
-                    rows.append((*row, ids) if with_ids else row)
-                out = pd.DataFrame(rows, columns=[*[f.split()[0] for f in schema.split(", ")], *["ids"] * with_ids])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+            names, column = batch.column(0), batch.column(1)
+            for rows in _slices(pc.utf8_length(column).to_pylist()):
+                texts = column.slice(rows.start, rows.stop - rows.start).to_pylist()
+                best, trips, scores, pieces, sums = [], [], [], [], []
+                for text, found in zip(texts, model.segment(texts, n), strict=True):
+                    best.append(found[0][1] if with_ids else None)
+                    trips.append(model.decode(found[0][1].tolist()) == (text or "").replace(BLANK, " "))
+                    scores.append([s for s, _ in found])
+                    pieces.append([len(ids) for _, ids in found])
+                    sums.append([zlib.crc32(ids.astype("<u4").tobytes()) for _, ids in found])
+                first = lambda values, kind: pa.array([v[0] for v in values], kind)
+                columns = [
+                    names.slice(rows.start, rows.stop - rows.start), first(pieces, pa.int64()), first(scores, pa.float64()), first(sums, pa.int64()),
+                    pa.array(trips, pa.bool_()), lists(scores, np.float64), lists(pieces, np.int64), lists(sums, np.int64),
+                    *([lists(best, np.int32)] if with_ids else []),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=[*[f.split()[0] for f in schema.split(", ")], *["ids"] * with_ids])
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return source.mapInPandas(encode, schema + ", ids array<int>" * with_ids)
+    return source.mapInArrow(encode, schema + ", ids array<int>" * with_ids)

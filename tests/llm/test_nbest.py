@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 
 import pytest
 
+from longform.llm import nbest
 from longform.llm.nbest import BLANK, Lattice, segmentations
 from longform.llm.queries import tokenizer_file
 
@@ -63,3 +65,55 @@ def test_query_over_rows(awkward, nothing):
     assert all(r.n_pieces == 0 and r.score == 0 and r.nbest_scores == [0.0] and r.ids == [] for r in empty)
     assert all(r.nbest_scores == sorted(r.nbest_scores, reverse=True) and r.n_pieces == r.nbest_pieces[0] for r in got)
     assert segmentations(nothing, PATH).count() == 0
+
+
+def _plain(found):
+    return [[(score, ids.tolist()) for score, ids in f] for f in found]
+
+
+def test_parts_are_numbered_and_forgotten(model, monkeypatch):
+    """A table that starts anew in the middle gives what a large one gives, and holds no more than a batch needs."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdeñ😀") for _ in range(rng.randint(1, 60))) for _ in range(300)]
+    texts = [None, "", *[" ".join(rng.choices(words, k=rng.randint(1, 80))) for _ in range(40)]]
+    model._forget()
+    want = _plain(model.segment(texts, 3))
+    assert len(model._known) == len(model._names) == len(model._best) == len(model._at) > 250
+    monkeypatch.setattr(nbest, "REMEMBERED", 100)
+    monkeypatch.setattr(nbest, "PARTS_AT_ONCE", 7)
+    monkeypatch.setattr(nbest, "CHARS_AT_ONCE", 60)
+    model._forget()
+    got = [x for i in range(0, len(texts), 2) for x in _plain(model.segment(texts[i : i + 2], 3))]
+    assert [[ids for _, ids in f] for f in got] == [[ids for _, ids in f] for f in want]
+    assert [s for f in got for s, _ in f] == pytest.approx([s for f in want for s, _ in f])
+    assert len(model._known) <= 170
+    model._forget()
+
+
+def test_memory_of_a_batch(model):
+    """Beyond the table of parts, a task holds little more than a few bytes for each character in hand."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 9))) for _ in range(2000)]
+    texts = [" ".join(rng.choices(words, k=3000)) for _ in range(100)]
+    model._forget()
+    for _ in model.segment([" ".join(words)], 4):
+        pass
+    most = 0
+    tracemalloc.start()
+    for rows in nbest._slices([len(t) for t in texts]):
+        for _ in model.segment(texts[rows], 4):
+            pass
+        most = max(most, tracemalloc.get_traced_memory()[1])
+    tracemalloc.stop()
+    model._forget()
+    assert most < 12e6
+
+
+def test_workers_need_no_pandas(spark):
+    """Rows go to Python and back as Arrow, in batches of any size."""
+    docs = spark.createDataFrame([(i if i % 5 else None, None if i % 7 == 0 else "some words " * (i % 50)) for i in range(300)], "doc_id long, text string")
+    got = segmentations(docs, PATH, n=2, with_ids=True)
+    assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+    rows = got.collect()
+    assert len(rows) == 300 and all(r.round_trip and len(r.ids) == r.n_pieces for r in rows)
+    assert sum(r.doc_id is None for r in rows) == 60
